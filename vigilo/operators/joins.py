@@ -4,8 +4,8 @@ A many-to-many join on a report or study key multiplies rows inside each key,
 and one key may hold a third of all rows.  A plain sort-merge join sends that
 key to one task.  ``SaltPlan`` splits such hot keys over a grid of tasks:
 
-* count rows per key on each side (partial + final aggregate: the hot key is
-  combined map-side, so the count itself is not skewed);
+* count rows per key and side in one job (partial + final aggregate: the
+  hot key is combined map-side, so the count itself is not skewed);
 * keep the keys whose count exceeds ``rows_per_split`` -- at most
   ``max_hot_keys`` of them, ordered by count then key, so the set is bounded
   and deterministic; every other key takes the ordinary path, exactly;
@@ -41,19 +41,52 @@ class SkewSpec:
     rows_per_split: int = 20_000
     max_splits: int = 512
     max_hot_keys: int = 10_000
-
-
-def _hot(df: DataFrame, keys: Sequence[str], spec: SkewSpec) -> dict[tuple, int]:
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Checkpoint both join inputs (to spark.checkpoint.dir) before counting,
+    # so the count and the join read them once instead of recomputing them.
+    checkpoint_inputs: bool = True
+
+
+def prepare(left: DataFrame, right: DataFrame, keys: Sequence[str], spec: SkewSpec = SkewSpec(), split_right: bool = True):
+    """(plan, left, right): the salt plan detected on the inputs, and the
+    inputs themselves -- checkpointed together, when the spec says so, as one
+    side-tagged frame (one job computes both, their stages run in parallel)."""
+    if spec.max_hot_keys > 0 and spec.checkpoint_inputs:
+        from vigilo.session import checkpoint_root
+
+        checkpoint_root(left.sparkSession)  # makes sure a checkpoint folder is set
+        lcols = [c for c in left.columns if c not in keys]
+        rcols = [c for c in right.columns if c not in keys]
+        lt = F.struct(*lcols) if lcols else F.lit(None)
+        rt = F.struct(*rcols) if rcols else F.lit(None)
+        tagged = left.select(*keys, F.lit(0).alias("_side"), lt.alias("_l"), F.lit(None).cast(right.select(rt.alias("x")).schema["x"].dataType).alias("_r")).unionByName(
+            right.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(left.select(lt.alias("x")).schema["x"].dataType).alias("_l"), rt.alias("_r"))
+        )
+        both = tagged.checkpoint(eager=True)
+        left = both.filter(F.col("_side") == 0).select(*keys, *[F.col(f"_l.{c}").alias(c) for c in lcols])
+        right = both.filter(F.col("_side") == 1).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rcols])
+    return SaltPlan.detect(left, right, keys, spec, split_right), left, right
+
+
+def _hot(left: DataFrame, right: DataFrame | None, keys: Sequence[str], spec: SkewSpec) -> tuple[dict, dict]:
+    """Hot keys of both sides in one job: rows per (key, side) over a tagged
+    union, then the top ``max_hot_keys`` above the threshold."""
+    if spec.max_hot_keys <= 0:
+        return {}, {}
+    tagged = left.select(*keys, F.lit(0).alias("_side"))
+    if right is not None:
+        tagged = tagged.unionByName(right.select(*keys, F.lit(1).alias("_side")))
     rows = (
-        counts.filter(F.col("_n") > spec.rows_per_split)
-        .orderBy(F.col("_n").desc(), *[F.col(k).asc_nulls_last() for k in keys])
+        tagged.groupBy(*keys, "_side")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > spec.rows_per_split)
+        .orderBy(F.col("_n").desc(), *[F.col(k).asc_nulls_last() for k in keys], "_side")
         .limit(spec.max_hot_keys)
         .collect()
     )
-    return {
-        tuple(r[k] for k in keys): min(spec.max_splits, math.ceil(r["_n"] / spec.rows_per_split)) for r in rows
-    }
+    sides: tuple[dict, dict] = ({}, {})
+    for r in rows:
+        sides[r["_side"]][tuple(r[k] for k in keys)] = min(spec.max_splits, math.ceil(r["_n"] / spec.rows_per_split))
+    return sides
 
 
 class SaltPlan:
@@ -80,8 +113,7 @@ class SaltPlan:
         spec: SkewSpec = SkewSpec(),
         split_right: bool = True,
     ) -> SaltPlan:
-        left_hot = _hot(left, keys, spec)
-        right_hot = _hot(right, keys, spec) if split_right else {}
+        left_hot, right_hot = _hot(left, right if split_right else None, keys, spec)
         splits = {k: (left_hot.get(k, 1), right_hot.get(k, 1)) for k in set(left_hot) | set(right_hot)}
         key_schema = T.StructType([left.schema[k] for k in keys])
         return cls(left.sparkSession, keys, key_schema, splits)
@@ -142,7 +174,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports how='inner' or 'left'")
-    plan = SaltPlan.detect(left, right, keys, spec, split_right=(how == "inner"))
+    plan, left, right = prepare(left, right, keys, spec, split_right=(how == "inner"))
     if plan.empty:
         return left.join(right, list(keys), how)
     return plan.unsalt(plan.left(left).join(plan.right(right), plan.join_keys, how))

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 from vigilo.functions import canon, date_key, nonblank, surrogate_key, to_bigint
 from vigilo.operators.dedupe import first_by
 from vigilo.operators.flags import any_flag, code_flags
-from vigilo.operators.joins import SaltPlan, SkewSpec
+from vigilo.operators.joins import SkewSpec, prepare
 from vigilo.plans.dims import patient_key, profile_columns
 
 REPORT_KEY = ["caseid", "primaryid"]
@@ -143,7 +143,7 @@ def report_fact(
         *REPORT_KEY, "reaction_sk"
     )
 
-    salt = SaltPlan.detect(drugs, reactions, REPORT_KEY, skew)
+    salt, drugs, reactions = prepare(drugs, reactions, REPORT_KEY, skew)
     keys = salt.join_keys
     fact = salt.left(drugs).join(salt.both(report), keys).join(salt.right(reactions), keys)
     return salt.unsalt(fact).select(*FACT_BASE_COLUMNS, *codes, ANY_SERIOUS, F.lit(1).alias("event_count"))
@@ -183,7 +183,7 @@ def trial_fact(
             .withColumn("study_sk", surrogate_key("study_id"))
         )
 
-    salt = SaltPlan.detect(trial_drugs, trial_conditions, STUDY_KEY, skew)
+    salt, trial_drugs, trial_conditions = prepare(trial_drugs, trial_conditions, STUDY_KEY, skew)
     keys = salt.join_keys
     fact = salt.left(trial_drugs).join(salt.both(studies), keys).join(salt.right(trial_conditions), keys)
     return salt.unsalt(fact).select("study_sk", "drug_sk", "condition_sk", F.lit(1).alias("trial_mapping_count"))

@@ -10,11 +10,13 @@ from vigilo.operators.joins import SkewSpec
 from vigilo.plans import dims, facts, silver
 
 
+def silver_table(name: str, bronze: DataFrame, roles: Sequence[str] = silver.SUSPECT_ROLES) -> DataFrame:
+    clean = silver.CLEANERS[name]
+    return clean(bronze, roles) if name == "faers_drug" else clean(bronze)
+
+
 def silver_tables(bronze: Mapping[str, DataFrame], roles: Sequence[str] = silver.SUSPECT_ROLES) -> dict[str, DataFrame]:
-    out = {}
-    for name, clean in silver.CLEANERS.items():
-        out[name] = clean(bronze[name], roles) if name == "faers_drug" else clean(bronze[name])
-    return out
+    return {name: silver_table(name, bronze[name], roles) for name in silver.CLEANERS}
 
 
 DIMENSIONS = {
