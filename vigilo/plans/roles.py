@@ -37,8 +37,15 @@ OUTCOME_CODES = {
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents")
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The benchmark table (read-only files), resolved once per session."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _READS[key]
 
 
 def _s(c: str) -> Column:

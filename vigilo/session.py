@@ -16,6 +16,8 @@ from pyspark.sql import SparkSession
 def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         root = tempfile.mkdtemp(prefix="vigilo-checkpoints-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
