@@ -31,24 +31,28 @@ def to_bigint(c) -> Column:
     return F.trim(col(c).cast("string")).try_cast("bigint")
 
 
+def _layouts(c):
+    """(shape test, parsed date, precision) per accepted layout."""
+    s = F.trim(col(c).cast("string"))
+    for shape, pattern, suffix, precision in DATE_LAYOUTS:
+        text = F.concat(s, F.lit(suffix)) if suffix else s
+        yield s.rlike(shape), F.try_to_date(text, pattern), precision
+
+
 def parse_date(c) -> Column:
     """Parse yyyy-MM-dd, yyyyMMdd, yyyy-MM, yyyyMM and yyyy; anything else,
     including impossible dates such as month 13, gives NULL."""
-    s = F.trim(col(c).cast("string"))
-    out = None
-    for shape, pattern, suffix, _ in DATE_LAYOUTS:
-        parsed = F.try_to_date(F.concat(s, F.lit(suffix)) if suffix else s, pattern)
-        out = F.when(s.rlike(shape), parsed) if out is None else out.when(s.rlike(shape), parsed)
+    out = F
+    for is_shape, parsed, _ in _layouts(c):
+        out = out.when(is_shape, parsed)
     return out
 
 
 def date_precision(c) -> Column:
     """'day', 'month' or 'year' for text that ``parse_date`` accepts, else NULL."""
-    s = F.trim(col(c).cast("string"))
-    out = None
-    for shape, _, _, precision in DATE_LAYOUTS:
-        cond = s.rlike(shape) & parse_date(s).isNotNull()
-        out = F.when(cond, F.lit(precision)) if out is None else out.when(cond, F.lit(precision))
+    out = F
+    for is_shape, parsed, precision in _layouts(c):
+        out = out.when(is_shape & parsed.isNotNull(), F.lit(precision))
     return out
 
 
