@@ -539,4 +539,8 @@ def statements() -> dict[str, str]:
             "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
             "CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events"
         ),
+        "incremental_stream_csv": (
+            "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
+            "CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events"
+        ),
     }

@@ -119,3 +119,17 @@ def test_snapshot_contract_needs_one_selector():
     except ValueError:
         return
     raise AssertionError("expected ValueError")
+
+
+def test_fixed_layout_stream_lands_each_file_once(spark, tmp_path):
+    from vigilo.streaming import stream_fixed_layout
+
+    raw, target, cp = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "cp")
+    write_text(tmp_path / "raw" / "REAC24Q1.txt", 'primaryid$caseid$pt\n1$1$"a ""b"""\n2$2$B\n')
+    write_text(tmp_path / "raw" / "demo24q1.txt", "primaryid$caseid$pt\n9$9$X\n")
+    stream_fixed_layout(spark, REAC, raw, target, cp)
+    stream_fixed_layout(spark, REAC, raw, target, cp)
+    write_text(tmp_path / "raw" / "reac24q2.txt", "primaryid$caseid$pt\n3$3$C\n")
+    stream_fixed_layout(spark, REAC, raw, target, cp)
+    got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(target).collect())
+    assert got == [("1", 'a "b"'), ("2", "B"), ("3", "C")]
