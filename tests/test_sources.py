@@ -133,3 +133,14 @@ def test_fixed_layout_stream_lands_each_file_once(spark, tmp_path):
     stream_fixed_layout(spark, REAC, raw, target, cp)
     got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(target).collect())
     assert got == [("1", 'a "b"'), ("2", "B"), ("3", "C")]
+
+
+def test_header_names_are_normalised(spark, tmp_path):
+    p = write_text(tmp_path / "h" / "reac.txt", "﻿PRIMARYID $ CaseID$ pt \n1$10$X\n")
+    row = read_delimited(spark, [p], "$", ["primaryid", "caseid", "pt"]).first()
+    assert (row.primaryid, row.caseid, row.pt) == ("1", "10", "X")
+
+
+def test_missing_landing_directory_lists_empty(spark, tmp_path):
+    assert list_files(spark, str(tmp_path / "nope")).count() == 0
+    assert new_files(spark, REAC, str(tmp_path / "nope"), None) == []
