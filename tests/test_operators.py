@@ -74,7 +74,7 @@ def test_skew_join_splits_hot_key_and_keeps_every_pair(spark):
     assert out.count() == 1_000_000 + 600
     assert out.select("r", "d", "x").distinct().count() == 1_000_000 + 600
     # The hot key's pairs are spread over the 10 x 10 grid, not one task.
-    _, l2, r2 = prepare(left, right, ["r"], spec)
+    _, l2, r2, _ = prepare(left, right, ["r"], spec)
     cells = plan.left(l2).join(plan.right(r2), plan.join_keys).groupBy("_salt_i", "_salt_j").count()
     assert cells.filter(F.col("count") >= 5000).count() == 100
 

@@ -46,25 +46,50 @@ class SkewSpec:
     checkpoint_inputs: bool = True
 
 
-def prepare(left: DataFrame, right: DataFrame, keys: Sequence[str], spec: SkewSpec = SkewSpec(), split_right: bool = True):
-    """(plan, left, right): the salt plan detected on the inputs, and the
-    inputs themselves -- checkpointed together, when the spec says so, as one
-    side-tagged frame (one job computes both, their stages run in parallel)."""
+def materialize_together(frames: Sequence[DataFrame], keys: Sequence[str]) -> list[DataFrame]:
+    """Checkpoint several frames that share ``keys`` in one job.
+
+    They are stacked as one side-tagged frame (each side's other columns in
+    its own struct), so their upstream stages run side by side in a single
+    job; each frame is then read back from the checkpoint by its tag.
+    """
+    from vigilo.session import checkpoint_root
+
+    checkpoint_root(frames[0].sparkSession)  # makes sure a checkpoint folder is set
+    payloads = []
+    for df in frames:
+        cols = [c for c in df.columns if c not in keys]
+        payloads.append((cols, df.select(F.struct(*cols).alias("p")).schema["p"].dataType))
+    tagged = None
+    for i, df in enumerate(frames):
+        parts = [
+            F.struct(*payloads[j][0]).alias(f"_s{j}") if j == i else F.lit(None).cast(payloads[j][1]).alias(f"_s{j}")
+            for j in range(len(frames))
+        ]
+        side = df.select(*keys, F.lit(i).alias("_side"), *parts)
+        tagged = side if tagged is None else tagged.unionByName(side)
+    both = tagged.checkpoint(eager=True)
+    return [
+        both.filter(F.col("_side") == i).select(*keys, *[F.col(f"_s{i}.{c}").alias(c) for c in payloads[i][0]])
+        for i in range(len(frames))
+    ]
+
+
+def prepare(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    spec: SkewSpec = SkewSpec(),
+    split_right: bool = True,
+    also: Sequence[DataFrame] = (),
+):
+    """(plan, left, right, also): the salt plan detected on the inputs, and
+    the inputs themselves -- checkpointed together in one job when the spec
+    says so, together with ``also`` (other frames keyed the same way that
+    the joins will read)."""
     if spec.max_hot_keys > 0 and spec.checkpoint_inputs:
-        from vigilo.session import checkpoint_root
-
-        checkpoint_root(left.sparkSession)  # makes sure a checkpoint folder is set
-        lcols = [c for c in left.columns if c not in keys]
-        rcols = [c for c in right.columns if c not in keys]
-        lt = F.struct(*lcols) if lcols else F.lit(None)
-        rt = F.struct(*rcols) if rcols else F.lit(None)
-        tagged = left.select(*keys, F.lit(0).alias("_side"), lt.alias("_l"), F.lit(None).cast(right.select(rt.alias("x")).schema["x"].dataType).alias("_r")).unionByName(
-            right.select(*keys, F.lit(1).alias("_side"), F.lit(None).cast(left.select(lt.alias("x")).schema["x"].dataType).alias("_l"), rt.alias("_r"))
-        )
-        both = tagged.checkpoint(eager=True)
-        left = both.filter(F.col("_side") == 0).select(*keys, *[F.col(f"_l.{c}").alias(c) for c in lcols])
-        right = both.filter(F.col("_side") == 1).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rcols])
-    return SaltPlan.detect(left, right, keys, spec, split_right), left, right
+        left, right, *also = materialize_together([left, right, *also], keys)
+    return SaltPlan.detect(left, right, keys, spec, split_right), left, right, list(also)
 
 
 def _hot(left: DataFrame, right: DataFrame | None, keys: Sequence[str], spec: SkewSpec) -> tuple[dict, dict]:
@@ -174,7 +199,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str =
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports how='inner' or 'left'")
-    plan, left, right = prepare(left, right, keys, spec, split_right=(how == "inner"))
+    plan, left, right, _ = prepare(left, right, keys, spec, split_right=(how == "inner"))
     if plan.empty:
         return left.join(right, list(keys), how)
     return plan.unsalt(plan.left(left).join(plan.right(right), plan.join_keys, how))

@@ -143,7 +143,7 @@ def report_fact(
         *REPORT_KEY, "reaction_sk"
     )
 
-    salt, drugs, reactions = prepare(drugs, reactions, REPORT_KEY, skew)
+    salt, drugs, reactions, (report,) = prepare(drugs, reactions, REPORT_KEY, skew, also=[report])
     keys = salt.join_keys
     fact = salt.left(drugs).join(salt.both(report), keys).join(salt.right(reactions), keys)
     return salt.unsalt(fact).select(*FACT_BASE_COLUMNS, *codes, ANY_SERIOUS, F.lit(1).alias("event_count"))
@@ -183,7 +183,7 @@ def trial_fact(
             .withColumn("study_sk", surrogate_key("study_id"))
         )
 
-    salt, trial_drugs, trial_conditions = prepare(trial_drugs, trial_conditions, STUDY_KEY, skew)
+    salt, trial_drugs, trial_conditions, (studies,) = prepare(trial_drugs, trial_conditions, STUDY_KEY, skew, also=[studies])
     keys = salt.join_keys
     fact = salt.left(trial_drugs).join(salt.both(studies), keys).join(salt.right(trial_conditions), keys)
     return salt.unsalt(fact).select("study_sk", "drug_sk", "condition_sk", F.lit(1).alias("trial_mapping_count"))
