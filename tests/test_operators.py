@@ -91,3 +91,10 @@ def test_no_hot_keys_is_a_plain_join(spark):
     left, right = _skewed(spark, hot_drugs=3, hot_reacs=3)
     plan = SaltPlan.detect(left, right, ["r"], SkewSpec())
     assert plan.empty and plan.join_keys == ["r"]
+
+
+def test_skew_join_on_key_only_frames(spark):
+    left = spark.range(400).select(F.lit(1).cast("long").alias("r")).unionByName(spark.range(5).select(F.col("id").alias("r")))
+    right = spark.range(3).select(F.lit(1).cast("long").alias("r"))
+    out = skew_join(left, right, ["r"], spec=SkewSpec(rows_per_split=50))
+    assert out.count() == 401 * 3

@@ -56,14 +56,17 @@ def materialize_together(frames: Sequence[DataFrame], keys: Sequence[str]) -> li
     from vigilo.session import checkpoint_root
 
     checkpoint_root(frames[0].sparkSession)  # makes sure a checkpoint folder is set
+    def payload(cols):  # a frame with key columns only still needs a struct field
+        return F.struct(*cols) if cols else F.struct(F.lit(0).alias("_none"))
+
     payloads = []
     for df in frames:
         cols = [c for c in df.columns if c not in keys]
-        payloads.append((cols, df.select(F.struct(*cols).alias("p")).schema["p"].dataType))
+        payloads.append((cols, df.select(payload(cols).alias("p")).schema["p"].dataType))
     tagged = None
     for i, df in enumerate(frames):
         parts = [
-            F.struct(*payloads[j][0]).alias(f"_s{j}") if j == i else F.lit(None).cast(payloads[j][1]).alias(f"_s{j}")
+            payload(payloads[j][0]).alias(f"_s{j}") if j == i else F.lit(None).cast(payloads[j][1]).alias(f"_s{j}")
             for j in range(len(frames))
         ]
         side = df.select(*keys, F.lit(i).alias("_side"), *parts)
