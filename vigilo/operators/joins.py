@@ -19,7 +19,12 @@ key to one task.  ``SaltPlan`` splits such hot keys over a grid of tasks:
 The hot-key table is collected once (bounded by ``max_hot_keys``) and
 broadcast as a literal relation, so every use and every task retry sees the
 same salt assignment; the split is a content hash, not ``rand()``, so a
-recomputed partition after executor loss lands in the same cells.
+recomputed partition after executor loss lands in the same cells.  Rows that
+are identical hash alike, so inputs are made distinct before they are split.
+
+``prepare`` first checkpoints the join inputs (and any other frame the joins
+read) together, in one job, into ``spark.checkpoint.dir``: the count and the
+joins then read them once, and the lineage behind the joins is cut.
 """
 
 from __future__ import annotations
@@ -56,6 +61,7 @@ def materialize_together(frames: Sequence[DataFrame], keys: Sequence[str]) -> li
     from vigilo.session import checkpoint_root
 
     checkpoint_root(frames[0].sparkSession)  # makes sure a checkpoint folder is set
+
     def payload(cols):  # a frame with key columns only still needs a struct field
         return F.struct(*cols) if cols else F.struct(F.lit(0).alias("_none"))
 
