@@ -14,12 +14,11 @@ runs.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigilo.sources.contracts import Contract
 from vigilo.sources.csv import INGEST_FILE
-from vigilo.sources.ingest import incremental_frame
+from vigilo.sources.ingest import incremental_frame, read_if_exists
 
 
 # The binaryFile source's fixed schema (a stream must declare it).
@@ -33,13 +32,6 @@ LISTING_SCHEMA = T.StructType(
 )
 
 
-def _existing(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
-    try:
-        return spark.read.format(fmt).load(path)
-    except AnalysisException:
-        return None
-
-
 def ingest_available(
     spark: SparkSession,
     c: Contract,
@@ -62,7 +54,7 @@ def ingest_available(
     )
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        loaded = _existing(spark, target_path, fmt)
+        loaded = read_if_exists(spark, target_path, fmt)
         if loaded is not None:
             batch = batch.join(loaded.select(F.col(INGEST_FILE).alias("path")).distinct(), "path", "left_anti")
         # At most max_files_per_trigger short strings.
