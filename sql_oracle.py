@@ -502,6 +502,17 @@ def statements() -> dict[str, str]:
             "      max(outc_death) AS death FROM fact_faers_event GROUP BY drug_sk, caseid, primaryid) GROUP BY drug_sk) r "
             "ON t.drug_sk = r.drug_sk) g LEFT JOIN dim_drug dd ON g.drug_sk = dd.drug_sk"
         ),
+        "coverage_overall": _q(
+            "SELECT drugs_reported, drugs_trialed, drugs_in_both, serious_reports_untrialed_drug, "
+            f"{ratio('drugs_in_both', 'drugs_reported')} AS trial_coverage FROM ("
+            "SELECT (SELECT count(DISTINCT drug_sk) FROM fact_faers_event) AS drugs_reported, "
+            "(SELECT count(DISTINCT drug_sk) FROM fact_trial_drug_condition) AS drugs_trialed, "
+            "(SELECT count(*) FROM (SELECT DISTINCT drug_sk FROM fact_faers_event) r "
+            " JOIN (SELECT DISTINCT drug_sk FROM fact_trial_drug_condition) t ON r.drug_sk = t.drug_sk) AS drugs_in_both, "
+            "(SELECT count(*) FROM (SELECT DISTINCT caseid, primaryid FROM fact_faers_event e WHERE outc_any_serious = 1 "
+            " AND NOT EXISTS (SELECT 1 FROM fact_trial_drug_condition t WHERE t.drug_sk = e.drug_sk))) "
+            "AS serious_reports_untrialed_drug)"
+        ),
         "missing_conditions": _q(
             "SELECT drug_sk, condition_sk, count(*) AS n_reports FROM (SELECT DISTINCT drug_sk, condition_sk, caseid, primaryid "
             "FROM fact_faers_event WHERE condition_sk IS NOT NULL) e "
