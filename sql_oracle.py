@@ -153,7 +153,7 @@ bronze_studies AS (
 bronze_interventions AS (
   SELECT 'NCT' || lpad(CAST(l.l_orderkey AS VARCHAR), 8, '0') AS nct_id,
          CASE WHEN p.p_size < 10 THEN 'Device' WHEN p.p_size < 30 THEN 'Drug' ELSE 'DRUG' END AS intervention_type,
-         CASE WHEN p.p_size > 45 THEN p.p_brand ELSE upper(p.p_name) END AS name
+         CASE WHEN p.p_size > 45 THEN p.p_brand WHEN starts_with(p.p_name, 'blue') THEN NULL ELSE upper(p.p_name) END AS name
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 ),
 bronze_conditions AS (

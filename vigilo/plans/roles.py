@@ -13,7 +13,9 @@ whose volume grows with the scale factor:
 * indication / trial condition = part type and size;
 * outcome code = line status followed by return flag;
 * trial = order (nct id 'NCT' + zero-padded order key), listed twice with an
-  older and a newer update month; trial drugs and conditions per line item.
+  older and a newer update month; trial drugs and conditions per line item
+  (parts named 'blue ...' are never registered as a trial drug, so some
+  reported drugs have no trial).
 
 NULLs, blanks, mixed case, extra spaces, thousands separators and five date
 layouts (one of them invalid) are introduced on purpose so the cleaning paths
@@ -169,7 +171,10 @@ def bronze_interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lineitem.join(p, lineitem.l_partkey == p.p_partkey).select(
         _nct("l_orderkey").alias("nct_id"),
         F.when(size < 10, F.lit("Device")).when(size < 30, F.lit("Drug")).otherwise(F.lit("DRUG")).alias("intervention_type"),
-        F.when(size > 45, F.col("p_brand")).otherwise(F.upper("p_name")).alias("name"),
+        F.when(size > 45, F.col("p_brand"))
+        .when(F.col("p_name").startswith("blue"), F.lit(None).cast("string"))
+        .otherwise(F.upper("p_name"))
+        .alias("name"),
     )
 
 
