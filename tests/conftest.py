@@ -20,6 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.warehouse.dir", warehouse)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
