@@ -66,6 +66,8 @@ def test_pipeline_end_to_end_and_idempotent(spark, landing):
     assert store.read("gold", "fact_faers_event").count() == 4
 
     log = spark.table(store.name("audit", "etl_run_log"))
+    loads = log.filter((F.col("layer") == "BRONZE") & (F.col("entity") == "faers_drug") & (F.col("status") == "SUCCESS"))
+    assert sorted(r.message for r in loads.collect()) == ["1 new files: DRUG24Q1.txt", "1 new files: DRUG24Q2.txt"]
     statuses = {r.status for r in log.collect()}
     assert statuses == {"SUCCESS", "SKIPPED"}
     assert log.filter((F.col("layer") == "GOLD") & (F.col("entity") == "fact_faers_event")).count() == 3
