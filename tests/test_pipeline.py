@@ -81,3 +81,11 @@ def test_pipeline_logs_failure(spark, landing):
         p.bronze()
     failed = spark.table(store.name("audit", "etl_run_log")).filter(F.col("status") == "FAILED").collect()
     assert len(failed) == 1 and failed[0].entity == "aact_studies" and failed[0].message
+
+
+def test_command_line_runs_the_layers(spark, landing):
+    from vigilo.__main__ import main
+
+    written = main(["--aact", str(landing / "aact"), "--faers", str(landing / "faers"), "--db-prefix", "cli",
+                    "--layers", "bronze", "silver"])
+    assert set(written) == {"bronze", "silver"} and written["silver"]["faers_drug"] == 2
