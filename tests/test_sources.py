@@ -144,3 +144,14 @@ def test_header_names_are_normalised(spark, tmp_path):
 def test_missing_landing_directory_lists_empty(spark, tmp_path):
     assert list_files(spark, str(tmp_path / "nope")).count() == 0
     assert new_files(spark, REAC, str(tmp_path / "nope"), None) == []
+
+
+def test_file_names_with_spaces_are_seen_once(spark, tmp_path):
+    raw, target = str(tmp_path / "raw dir"), str(tmp_path / "bronze")
+    write_text(tmp_path / "raw dir" / "REAC 24Q1 (final).txt", "primaryid$caseid$pt\n1$1$A\n")
+    write_text(tmp_path / "raw dir" / "reac+100%.txt", "primaryid$caseid$pt\n2$2$B\n")
+    assert _batch_load(spark, raw, target) == 2
+    assert _batch_load(spark, raw, target) == 0
+    assert spark.read.parquet(target).count() == 2
+    names = sorted(r.ingest_file.rsplit("/", 1)[-1] for r in spark.read.parquet(target).collect())
+    assert names == ["REAC 24Q1 (final).txt", "reac+100%.txt"]
