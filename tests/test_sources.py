@@ -155,3 +155,11 @@ def test_file_names_with_spaces_are_seen_once(spark, tmp_path):
     assert spark.read.parquet(target).count() == 2
     names = sorted(r.ingest_file.rsplit("/", 1)[-1] for r in spark.read.parquet(target).collect())
     assert names == ["REAC 24Q1 (final).txt", "reac+100%.txt"]
+
+
+def test_empty_and_crlf_files(spark, tmp_path):
+    empty = write_text(tmp_path / "e" / "REAC_EMPTY.txt", "")
+    header_only = write_text(tmp_path / "e" / "REAC_HEADER.txt", "primaryid$caseid$pt\n")
+    crlf = write_text(tmp_path / "e" / "REAC_CRLF.txt", "primaryid$caseid$pt\r\n1$1$A\r\n2$2$B\r\n")
+    df = read_delimited(spark, [empty, header_only, crlf], "$", ["primaryid", "caseid", "pt"])
+    assert sorted((r.primaryid, r.pt) for r in df.collect()) == [("1", "A"), ("2", "B")]
