@@ -163,3 +163,10 @@ def test_empty_and_crlf_files(spark, tmp_path):
     crlf = write_text(tmp_path / "e" / "REAC_CRLF.txt", "primaryid$caseid$pt\r\n1$1$A\r\n2$2$B\r\n")
     df = read_delimited(spark, [empty, header_only, crlf], "$", ["primaryid", "caseid", "pt"])
     assert sorted((r.primaryid, r.pt) for r in df.collect()) == [("1", "A"), ("2", "B")]
+
+
+def test_trailing_separator_and_duplicate_names(spark, tmp_path):
+    trailing = write_text(tmp_path / "t" / "REAC_T.txt", "primaryid$caseid$pt$\n1$1$A$\n")
+    dup = write_text(tmp_path / "t" / "REAC_D.txt", "primaryid$caseid$pt$note$note\n2$2$B$x$y\n")
+    df = read_delimited(spark, [trailing, dup], "$", ["primaryid", "caseid", "pt"])
+    assert sorted((r.primaryid, r.caseid, r.pt) for r in df.collect()) == [("1", "1", "A"), ("2", "2", "B")]
