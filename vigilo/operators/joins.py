@@ -43,6 +43,16 @@ _Q = "_salt_q"
 
 @dataclass(frozen=True)
 class SkewSpec:
+    """When and how far to split hot keys.
+
+    rows_per_split: a side's rows per key above which the key is split, and
+        the target rows per split;
+    max_splits: most splits of one side of one key;
+    max_hot_keys: most keys split (the largest first); 0 turns detection off
+        and leaves the joins plain;
+    checkpoint_inputs: materialize the inputs once before counting.
+    """
+
     rows_per_split: int = 20_000
     max_splits: int = 512
     max_hot_keys: int = 10_000
