@@ -11,6 +11,7 @@ from pyspark.sql import Column, functions as F
 from vigilo.functions._col import col
 from vigilo.functions.text import blank_to_null, canon
 
+# Fixed value: the default for a missing profile attribute.
 UNKNOWN = "UNK"
 
 
