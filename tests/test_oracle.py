@@ -28,3 +28,16 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.columns[:4] == ["caseid", "primaryid", "drug_sk", "reaction_sk"]
     assert df.count() >= 0
+
+
+def test_survey_query_keys_are_registered():
+    import __spark_entry__ as e
+
+    # the query keys proposed by the survey's oracle mapping
+    survey = {
+        "canon_key", "digits_to_int", "date_key_guard", "surrogate_key", "nonblank_filter", "role_filter",
+        "default_unk_profile", "latest_version", "priority_union_dim", "distinct_on_key", "outcome_flags",
+        "calendar_dim", "report_fact", "trial_mapping_fact", "missing_conditions", "gap_by_drug",
+        "trial_duration", "profile_cube", "trend_quarter", "column_contract", "incremental_files",
+    }
+    assert survey <= set(e.queries())
