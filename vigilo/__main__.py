@@ -14,20 +14,21 @@ from pyspark.sql import SparkSession
 from vigilo.plans.pipeline import Pipeline
 from vigilo.sinks.tables import TableStore
 
-LAYERS = ("bronze", "silver", "gold")
+LAYERS = ("bronze", "silver", "gold", "measures")
 
 
 def main(argv=None) -> dict:
     ap = argparse.ArgumentParser(prog="vigilo", description=__doc__)
     ap.add_argument("--aact", required=True, help="landing folder of the trial-registry extracts")
     ap.add_argument("--faers", required=True, help="landing folder of the adverse-event extracts")
-    ap.add_argument("--layers", nargs="+", choices=LAYERS, default=list(LAYERS))
+    ap.add_argument("--layers", nargs="+", choices=LAYERS, default=list(LAYERS[:3]),
+                    help="steps to run, in order (measures writes the kpi_* tables)")
     ap.add_argument("--format", default="parquet", help="table format of the session catalog")
     ap.add_argument("--db-prefix", default="pv", help="databases <prefix>_bronze, _silver, _gold, _audit")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("vigilo").getOrCreate()
-    store = TableStore(spark, databases={k: f"{args.db_prefix}_{k}" for k in (*LAYERS, "audit")}, fmt=args.format)
+    store = TableStore(spark, databases={k: f"{args.db_prefix}_{k}" for k in ("bronze", "silver", "gold", "audit")}, fmt=args.format)
     p = Pipeline(spark, {"AACT": args.aact, "FAERS": args.faers}, store=store)
     p.setup()
     written = {layer: getattr(p, layer)() for layer in LAYERS if layer in args.layers}
