@@ -180,3 +180,10 @@ def test_stream_with_header_drift_and_escaped_names(spark, tmp_path):
     ingest_available(spark, REAC, raw, target, str(tmp_path / "cp2"))  # replay from scratch: anti join holds
     got = sorted((r.primaryid, r.caseid, r.pt) for r in spark.read.parquet(target).collect())
     assert got == [("1", "1", "A"), ("2", "2", "B")]
+
+
+def test_zero_byte_files_are_not_offered(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_text(tmp_path / "raw" / "REAC_EMPTY.txt", "")
+    write_text(tmp_path / "raw" / "REAC_FULL.txt", "primaryid$caseid$pt\n1$1$A\n")
+    assert [p.rsplit("/", 1)[-1] for p in new_files(spark, REAC, raw, None)] == ["REAC_FULL.txt"]
