@@ -56,6 +56,8 @@ def test_pipeline_end_to_end_and_idempotent(spark, landing):
     # the same landing directory again: incremental sources add nothing
     second = Pipeline(spark, p.raw_dirs, store=store).run()
     assert all(second["bronze"][t] == 0 for t in ("faers_demo", "faers_drug", "faers_reac", "faers_outc", "faers_indi"))
+    # unchanged snapshot files are not read again either
+    assert all(second["bronze"][t] == 0 for t in ("aact_studies", "aact_interventions", "aact_conditions"))
     assert store.read("bronze", "faers_drug").count() == 3
     assert sorted(r.drug_sk for r in store.read("gold", "fact_faers_event").select("drug_sk").collect()) == gap_before
 
@@ -65,12 +67,18 @@ def test_pipeline_end_to_end_and_idempotent(spark, landing):
     assert third["bronze"]["faers_drug"] == 1 and store.read("bronze", "faers_drug").count() == 4
     assert store.read("gold", "fact_faers_event").count() == 4
 
+    # a snapshot file rewritten with another row is loaded again, whole
+    write_text(landing / "aact" / "studies.txt", AACT["studies.txt"] + "N3|Completed|Phase 1|Interventional|10|2022|2023|2023\n")
+    fourth = Pipeline(spark, p.raw_dirs, store=store).run()
+    assert fourth["bronze"]["aact_studies"] == 3 and fourth["bronze"]["aact_conditions"] == 0
+    assert store.read("gold", "dim_study").count() == 3
+
     log = spark.table(store.name("audit", "etl_run_log"))
     loads = log.filter((F.col("layer") == "BRONZE") & (F.col("entity") == "faers_drug") & (F.col("status") == "SUCCESS"))
     assert sorted(r.message for r in loads.collect()) == ["1 new files: DRUG24Q1.txt", "1 new files: DRUG24Q2.txt"]
     statuses = {r.status for r in log.collect()}
     assert statuses == {"SUCCESS", "SKIPPED"}
-    assert log.filter((F.col("layer") == "GOLD") & (F.col("entity") == "fact_faers_event")).count() == 3
+    assert log.filter((F.col("layer") == "GOLD") & (F.col("entity") == "fact_faers_event")).count() == 4
 
 
 def test_pipeline_logs_failure(spark, landing):

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vigilo.sources.contracts import Contract
-from vigilo.sources.csv import INGEST_FILE, source_file
+from vigilo.sources.csv import INGEST_FILE, source_file_columns
 from vigilo.sources.ingest import incremental_frame, read_if_exists
 
 
@@ -103,7 +103,7 @@ def stream_fixed_layout(
         .option("pathGlobFilter", _glob_any_case(selector))
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(raw_dir)
-        .withColumn(INGEST_FILE, source_file())
+        .select("*", *source_file_columns())
         .withColumn("source_system", F.lit(c.source))
         .withColumn("ingest_ts", F.current_timestamp())
     )
