@@ -98,3 +98,15 @@ def test_skew_join_on_key_only_frames(spark):
     right = spark.range(3).select(F.lit(1).cast("long").alias("r"))
     out = skew_join(left, right, ["r"], spec=SkewSpec(rows_per_split=50))
     assert out.count() == 401 * 3
+
+
+def test_calendar_spanning_follows_the_data(spark):
+    from vigilo.operators import calendar_spanning
+
+    df = spark.createDataFrame(
+        [(dt.datetime(2023, 12, 30, 10, 0),), (dt.datetime(2024, 1, 2, 23, 59),), (None,)], "ts timestamp"
+    )
+    cal = calendar_spanning(df, "ts").orderBy("full_date").collect()
+    assert [r.date_key for r in cal] == [20231230, 20231231, 20240101, 20240102]
+    assert [r.quarter for r in cal] == ["2023Q4", "2023Q4", "2024Q1", "2024Q1"]
+    assert calendar_spanning(df.filter("ts IS NULL"), "ts").count() == 0
