@@ -8,16 +8,24 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 SF = "/root/testdata/sf0.001"
 
 
+def base_queries():
+    """The queries of this library itself; those of other subpackages have their own tests."""
+    import __spark_entry__ as e
+
+    other = set(e.llm_queries.queries()) | {"pipeline"} if e.llm_queries else set()
+    return [k for k in e.queries() if k not in other]
+
+
 def test_every_query_has_an_oracle():
     import __spark_entry__ as e
 
-    assert set(e.queries()) == set(e.oracle_sql())
+    assert set(base_queries()) <= set(e.oracle_sql()) <= set(e.queries())
 
 
 def test_queries_match_duckdb(spark):
     from oracle_check import compare
 
-    results = compare(spark, SF)
+    results = compare(spark, SF, base_queries())
     failing = {k: v for k, v in results.items() if v != "OK"}
     assert not failing, failing
 
