@@ -26,6 +26,13 @@ def op2_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact_groups(table(spark, d, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_tiled_topk(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.topk import top_k, whole_numbers
+
+    vectors = table(spark, d, "embeddings").select("vec_id", whole_numbers("embedding").alias("v"))
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
 def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm import token_files as t
 
@@ -35,12 +42,24 @@ def op4_token_files(spark: SparkSession, d: str) -> DataFrame:
     return found.select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op5_line_chunks(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.line_dedup import line_report
+
+    return line_report(table(spark, d, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm.toxicity import toxicity
 
     return toxicity(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op7_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.license_scan import scan
+
+    return scan(table(spark, d, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm.mixing import mix_counts
 
@@ -53,12 +72,27 @@ def op9_pack_sequences(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(table(spark, d, "documents"), word_tokenizer())
 
 
+def op10_prefix_targets(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.chat import digests, expand
+
+    rows = table(spark, d, "conversations").selectExpr("cast(conv_id as bigint) conv_id", "cast(turn as bigint) turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    out = scratch_dir(spark, "chat")
+    expand(rows.unionByName(more)).write.parquet(out)
+    return digests(spark.read.parquet(out))
+
+
 def queries() -> dict:
     return {
         "op1_order_minhash": op1_order_minhash,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_tiled_topk": op3_tiled_topk,
         "op4_token_files": op4_token_files,
+        "op5_line_chunks": op5_line_chunks,
         "op6_toxicity": op6_toxicity,
+        "op7_license_scan": op7_license_scan,
         "op8_mix_sources": op8_mix_sources,
         "op9_pack_sequences": op9_pack_sequences,
+        "op10_prefix_targets": op10_prefix_targets,
     }

@@ -12,6 +12,46 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n.t) AS tex
 FROM n JOIN g ON n.t = g.t
 """
 
+OP3 = r"""
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id
+  WHERE a.vec_id % 20 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+OP10 = r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), e AS (
+  SELECT *, role = 'assistant' AS reply,
+    length(regexp_replace(role, '(\\|<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\])', '\1#', 'g'))
+    + length(regexp_replace(text, '(\\|<s>|</s>|<<SYS>>|<</SYS>>|\[INST\]|\[/INST\])', '\1#', 'g'))
+    + CASE WHEN role = 'assistant' THEN 14 ELSE 20 END AS n
+  FROM c
+), w AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS prefix,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS last
+  FROM e
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE reply), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE reply), '')) AS loss_sha256,
+  CAST(coalesce(sum(prefix) FILTER (WHERE reply OR last), 0) AS BIGINT) AS formatted_chars
+FROM w GROUP BY conv_id
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2}
+    return {"op2_exact_dedup": OP2, "op3_tiled_topk": OP3, "op10_prefix_targets": OP10}

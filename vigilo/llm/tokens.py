@@ -1,19 +1,49 @@
 """Token ids of whole texts by a public tokenizer, for Arrow batches.
 
 The tokenizer drops white space and cuts words at it, so a text's ids are the
-ids of its white-space-free pieces one after the other.  Pieces are encoded by
-the tokenizers library and remembered, as most of them return soon.  Ids are
-handled as little-endian unsigned 32-bit bytes.
+ids of its white-space-free pieces one after the other.  It lower-cases, and it
+cuts between a letter or digit and the punctuation after it, so an ASCII piece
+has the ids of its lower-case stem and then those of its closing punctuation.
+Stems of Latin letters only are one word for the tokenizer and go to its model
+directly; all others go through the whole tokenizer, many in one call, with a
+NUL between them (whose one id marks the borders).  Pieces and stems are
+remembered up to a bound, as most of them return soon.  Ids are handled as
+little-endian unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
 
 import os
 
-#: Pieces remembered by one Python worker, and the longest of them in bytes.
+#: Pieces and stems remembered by one Python worker, and the longest of them in bytes.
 REMEMBERED = 400_000
 LONGEST = 48
 
+_CLOSING = b".,;:!?"
+_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def stem_of(piece: bytes) -> tuple[bytes, bytes]:
+    """(stem, closing punctuation) whose ids are those of the piece."""
+    if not piece.isascii():  # composed characters may change with case
+        return piece, b""
+    low = piece.lower()
+    stem = low.rstrip(_CLOSING)
+    if stem and stem[-1] in _ALNUM:
+        return stem, low[len(stem) :]
+    return low, b""
+
+
+def byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself
+    if it is printable Latin-1, else the next one from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 0x100 + i for i, b in enumerate(rest)}
+
+
+_PROBE = ("a", "word", "w\u00f6rter", "\u00e9l\u00e8ve", "CAF\u00c9", "\u0159e\u010d", "stra\u00dfe", "e\u0301t\u00e9")
+
 
 class Encoder:
     def __init__(self, path: str):
@@ -21,28 +51,76 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.stems: dict[bytes, bytes] = {b"": b""}
+        self.letters = byte_letters()
+        self.direct = all((got := self._word(w)) is None or got == self._ids(w).tobytes() for w in _PROBE)
+        border = self._ids("\0")
+        self.border = border[0] if len(border) == 1 and list(self._ids("a \0 b")).count(border[0]) == 1 else None
 
-    def _encode(self, pieces: list[bytes]) -> list[bytes]:
+    def _ids(self, text: str):
         import numpy as np
 
-        got = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in got]
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _word(self, word: str) -> bytes | None:
+        """The ids of a word of Latin letters (None: it is not one), by the model alone."""
+        import numpy as np
+
+        if not word.isascii():
+            word = self.tokenizer.normalizer.normalize_str(word)
+        if not word.isalpha() or max(word) >= "\u0250":
+            return None
+        low = word if not word.isascii() else word.lower()
+        if not low.isascii():
+            low = low.encode("utf-8").decode("latin-1").translate(self.letters)
+        return np.array([t.id for t in self.tokenizer.model.tokenize(low)], dtype="<u4").tobytes()
+
+    def _encode(self, stems: list[bytes]) -> None:
+        """Remember the ids of new stems."""
+        import numpy as np
+
+        found, joint, own = {}, [], []
+        for s in stems:
+            if self.direct and len(s) <= LONGEST and (ids := self._word(s.decode("utf-8"))) is not None:
+                found[s] = ids
+            else:  # NULs and long pieces are encoded alone
+                (own if self.border is None or b"\0" in s or len(s) > LONGEST else joint).append(s)
+        found.update((s, self._ids(s.decode("utf-8")).tobytes()) for s in own)
+        if joint:
+            ids = self._ids(" \0 ".join([s.decode("utf-8") for s in joint]))
+            cuts = np.flatnonzero(ids == self.border)
+            if len(cuts) == len(joint) - 1:
+                raw, ends = ids.tobytes(), [4 * int(c) for c in cuts] + [4 * len(ids)]
+                start = 0
+                for s, end in zip(joint, ends):
+                    found[s] = raw[start:end]
+                    start = end + 4
+            else:  # the border's id came from a text as well
+                found.update((s, self._ids(s.decode("utf-8")).tobytes()) for s in joint)
+        self.stems.update(found)
 
     def __call__(self, text: bytes | None) -> bytes:
         """The ids of a UTF-8 text; of null, none."""
-        if not text:
-            return b""
-        pieces = text.split()
-        known = self.known
+        pieces = text.split() if text else []
+        known, stems = self.pieces, self.stems
         ids = list(map(known.get, pieces))
         if None in ids:
-            new = list({p for p, i in zip(pieces, ids) if i is None})
-            fresh = dict(zip(new, self._encode(new)))
-            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
-            if len(known) + len(fresh) > REMEMBERED:
+            if len(known) > REMEMBERED:
                 known.clear()
+            if len(stems) > REMEMBERED:
+                stems.clear()
+                stems[b""] = b""
+            parts = {p: stem_of(p) for p, i in zip(pieces, ids) if i is None}
+            new = {x for pair in parts.values() for x in pair if x not in stems}
+            if new:
+                self._encode(list(new))
+            fresh = {p: stems[a] + stems[b] for p, (a, b) in parts.items()}
+            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
             known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
+            for s in new:
+                if len(s) > LONGEST:
+                    del stems[s]
         return b"".join(ids)
 
 
