@@ -38,6 +38,8 @@ STATE_STORE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    # else each of the many small stores reserves megabytes of disk for its log
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
