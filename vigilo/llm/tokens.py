@@ -2,36 +2,27 @@
 
 The tokenizer drops white space and cuts words at it, so a text's ids are the
 ids of its white-space-free pieces one after the other.  It lower-cases, and it
-cuts between a letter or digit and the punctuation after it, so an ASCII piece
-has the ids of its lower-case stem and then those of its closing punctuation.
-Stems of Latin letters only are one word for the tokenizer and go to its model
-directly; all others go through the whole tokenizer, many in one call, with a
-NUL between them (whose one id marks the borders).  Pieces and stems are
-remembered up to a bound, as most of them return soon.  Ids are handled as
-little-endian unsigned 32-bit bytes.
+cuts between a letter or digit and the punctuation after it, so a piece of
+Latin letters and closing punctuation has the ids of its lower-case word and
+then those of the punctuation.  Words go to the tokenizer's model directly; all
+other pieces go through the whole tokenizer, many in one call, with a NUL
+between them (whose one id marks the borders).  Pieces and words are remembered
+up to a bound, as most of them return soon.  Ids are handled as little-endian
+unsigned 32-bit bytes.
 """
 
 from __future__ import annotations
 
+import gc
 import os
 
-#: Pieces and stems remembered by one Python worker, and the longest of them in bytes.
-REMEMBERED = 400_000
+#: Pieces and words remembered by one Python worker, and the longest of them in bytes.
+REMEMBERED = 300_000
 LONGEST = 48
 
-_CLOSING = b".,;:!?"
-_ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
-
-
-def stem_of(piece: bytes) -> tuple[bytes, bytes]:
-    """(stem, closing punctuation) whose ids are those of the piece."""
-    if not piece.isascii():  # composed characters may change with case
-        return piece, b""
-    low = piece.lower()
-    stem = low.rstrip(_CLOSING)
-    if stem and stem[-1] in _ALNUM:
-        return stem, low[len(stem) :]
-    return low, b""
+_CLOSING = ".,;:!?"
+#: Letters below are their own NFC form; U+0130 has a lower case of two letters.
+_LATIN_END, _DOTTED = "ɐ", "İ"
 
 
 def byte_letters() -> dict[int, int]:
@@ -42,7 +33,15 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 0x100 + i for i, b in enumerate(rest)}
 
 
-_PROBE = ("a", "word", "w\u00f6rter", "\u00e9l\u00e8ve", "CAF\u00c9", "\u0159e\u010d", "stra\u00dfe", "e\u0301t\u00e9")
+def latin_word(piece: str) -> tuple[str, str] | None:
+    """(lower-case word, closing punctuation) of a piece, if it is such."""
+    word = piece.rstrip(_CLOSING)
+    if not word.isalpha() or (not word.isascii() and (max(word) >= _LATIN_END or _DOTTED in word)):
+        return None
+    return word.lower(), piece[len(word) :]
+
+
+_PROBE = ("a", "word", "wörter.", "élève,", "CAFÉ!", "řeč", "straße?!", "Don", "x...")
 
 
 class Encoder:
@@ -51,76 +50,74 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[bytes, bytes] = {}
-        self.stems: dict[bytes, bytes] = {b"": b""}
         self.letters = byte_letters()
-        self.direct = all((got := self._word(w)) is None or got == self._ids(w).tobytes() for w in _PROBE)
-        border = self._ids("\0")
-        self.border = border[0] if len(border) == 1 and list(self._ids("a \0 b")).count(border[0]) == 1 else None
-
-    def _ids(self, text: str):
-        import numpy as np
-
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        self.pieces: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.closing: dict[str, bytes] = {"": b""}
+        self.direct = all(self._latin(*latin_word(p)) == self._whole(p) for p in _PROBE)
+        border = self.tokenizer.encode("\0", add_special_tokens=False).ids
+        self.border = border[0] if len(border) == 1 else None
 
-    def _word(self, word: str) -> bytes | None:
-        """The ids of a word of Latin letters (None: it is not one), by the model alone."""
+    def _whole(self, text: str) -> bytes:
         import numpy as np
 
-        if not word.isascii():
-            word = self.tokenizer.normalizer.normalize_str(word)
-        if not word.isalpha() or max(word) >= "\u0250":
-            return None
-        low = word if not word.isascii() else word.lower()
-        if not low.isascii():
-            low = low.encode("utf-8").decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(low)], dtype="<u4").tobytes()
-
-    def _encode(self, stems: list[bytes]) -> None:
-        """Remember the ids of new stems."""
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _latin(self, word: str, closing: str) -> bytes:
+        """The ids of a Latin word, by the model alone, and of what closes it."""
+        ids = self.words.get(word)
+        if ids is None:
+            low = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(low)])
+            if len(word) <= LONGEST:
+                self.words[word] = ids
+        if closing:
+            end = self.closing.get(closing)
+            if end is None:
+                end = self._whole(closing)
+                if len(closing) <= LONGEST and len(self.closing) < REMEMBERED:
+                    self.closing[closing] = end
+            return ids + end
+        return ids
+
+    def _encode(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of new pieces."""
         import numpy as np
 
         found, joint, own = {}, [], []
-        for s in stems:
-            if self.direct and len(s) <= LONGEST and (ids := self._word(s.decode("utf-8"))) is not None:
-                found[s] = ids
+        if len(self.words) > REMEMBERED:
+            self.words.clear()
+        for p in pieces:
+            text = p.decode("utf-8")
+            word = latin_word(text) if self.direct else None
+            if word:
+                found[p] = self._latin(*word)
             else:  # NULs and long pieces are encoded alone
-                (own if self.border is None or b"\0" in s or len(s) > LONGEST else joint).append(s)
-        found.update((s, self._ids(s.decode("utf-8")).tobytes()) for s in own)
+                (own if self.border is None or "\0" in text or len(p) > LONGEST else joint).append((p, text))
         if joint:
-            ids = self._ids(" \0 ".join([s.decode("utf-8") for s in joint]))
-            cuts = np.flatnonzero(ids == self.border)
-            if len(cuts) == len(joint) - 1:
-                raw, ends = ids.tobytes(), [4 * int(c) for c in cuts] + [4 * len(ids)]
+            raw = self._whole(" \0 ".join([t for _, t in joint]))
+            ends = [4 * int(c) for c in np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.border)]
+            if len(ends) == len(joint) - 1:
                 start = 0
-                for s, end in zip(joint, ends):
-                    found[s] = raw[start:end]
+                for (p, _), end in zip(joint, [*ends, len(raw)]):
+                    found[p] = raw[start:end]
                     start = end + 4
-            else:  # the border's id came from a text as well
-                found.update((s, self._ids(s.decode("utf-8")).tobytes()) for s in joint)
-        self.stems.update(found)
+            else:  # the border's id came from a piece as well
+                own += joint
+        found.update((p, self._whole(t)) for p, t in own)
+        return found
 
     def __call__(self, text: bytes | None) -> bytes:
         """The ids of a UTF-8 text; of null, none."""
         pieces = text.split() if text else []
-        known, stems = self.pieces, self.stems
+        known = self.pieces
         ids = list(map(known.get, pieces))
         if None in ids:
+            fresh = self._encode({p for p, i in zip(pieces, ids) if i is None})
+            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
             if len(known) > REMEMBERED:
                 known.clear()
-            if len(stems) > REMEMBERED:
-                stems.clear()
-                stems[b""] = b""
-            parts = {p: stem_of(p) for p, i in zip(pieces, ids) if i is None}
-            new = {x for pair in parts.values() for x in pair if x not in stems}
-            if new:
-                self._encode(list(new))
-            fresh = {p: stems[a] + stems[b] for p, (a, b) in parts.items()}
-            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
             known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
-            for s in new:
-                if len(s) > LONGEST:
-                    del stems[s]
         return b"".join(ids)
 
 
@@ -130,5 +127,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a tokenizer file."""
     if path not in _ENCODERS:
+        # encoding makes many small objects and no cycles: look for cycles rarely
+        gc.set_threshold(200_000, 20, 20)
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
