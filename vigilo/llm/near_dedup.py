@@ -3,26 +3,28 @@
 A text is its sequence of 5-word shingles, each labelled with its occurrence
 number (the n-th time it occurs), so labelled shingles of a text are distinct.
 
-*   Sketch.  Each of ``SKETCHES`` hash functions samples the ``SAMPLED``
-    labelled shingles with the smallest hashes and keeps them in text order;
-    the ordered tuple is one bucket key.  Texts share a key with probability
-    about J**8 per function if the shared shingles keep their order: at
-    similarity 0.8, 48 functions miss with probability under 2e-4; texts that
-    share a passage but little else almost never meet.  Texts of up to
-    ``SHORT`` shingles are (also) sketched with 4 samples, as there a single
-    changed shingle weighs more.
+*   Sketch.  Each of a set of hash functions samples the labelled shingles with
+    the smallest hashes and keeps them in text order; the ordered tuple is one
+    bucket key.  With 12 samples, texts share a key of one function with
+    probability about J**12 if the shared shingles keep their order: at
+    similarity 0.8, 80 functions miss a pair with probability 0.004, while texts
+    that share half their shingles (a long common passage) seldom meet.  Short
+    texts take fewer samples, as there one changed shingle weighs more.
 *   Verification.  Positions of shared labelled shingles are matched inside a
     band as wide as a pair of the required similarity can need, and the longest
     chain that keeps their order is the alignment (labels are distinct, so it
     is a longest increasing run).  Similarity = aligned / (n1 + n2 - aligned);
     0.8 or more links the pair.
 *   Candidates without all pairs.  Every member of a bucket is compared with
-    the bucket's first member.  Links so far are contracted to components.
-    Members of one bucket that ended in different components are compared too,
-    unless the triangle inequality of the Jaccard distance rules a link out
-    from their measured distances to the first member.  So every pair that
-    shares a key is linked, joined through others, or shown to be no link,
-    and a bucket of thousands of copies costs one comparison a member.
+    the bucket's centre, the member that meets the most others over all its
+    buckets (an original rather than one of its copies).  Links are contracted
+    to components, and buckets whose members are not all in one component get
+    a second centre.  Members of one bucket that still are in different
+    components are compared with one another, unless the triangle inequality
+    of the Jaccard distance rules a link out from their distances to the last
+    centre.  So every pair that shares a key is linked, joined through others,
+    or shown to be no link, and a bucket of thousands of copies costs about one
+    comparison a member.
 
 Copies (equal word sequences) are one node: the first row stands for them.
 Rows are exploded, counted and joined by key; hot keys are pre-aggregated
@@ -47,11 +49,11 @@ from vigilo.llm.exact_dedup import located
 
 K = 5
 SIMILARITY = 0.8
-SKETCHES = 48
-SAMPLED = 8
-SHORT_SAMPLED = 4
-SHORT = 26
-LONG_FROM = 20
+#: (fewest shingles, most, hash functions, samples of each): tiers overlap so far
+#: that two texts of the required similarity have one in common.
+TIERS = ((1, 14, 48, 4), (11, 64, 48, 6), (50, 1 << 62, 80, 12))
+#: Rounds in which a bucket's members meet its centre, before the rest meet one another.
+CENTRES = 2
 _CHUNK = 4096
 
 
@@ -97,11 +99,8 @@ def shingles_of(text: bytes | None):
 def keys_of(shingles):
     import numpy as np
 
-    n, parts = len(shingles), []
-    if n and n <= SHORT:
-        parts.append(order_sketch(shingles, SHORT_SAMPLED, SKETCHES, 4))
-    if n >= LONG_FROM:
-        parts.append(order_sketch(shingles, SAMPLED, SKETCHES, 8))
+    n = len(shingles)
+    parts = [order_sketch(shingles, sampled, functions, sampled) for low, high, functions, sampled in TIERS if low <= n <= high]
     return np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
 
 
@@ -173,14 +172,23 @@ def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float)
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        held: dict[int, object] = {}  # the first texts of pairs come sorted
+        held: dict[int, object] = {}  # parsed texts, up to 2**21 shingles
+        room = [1 << 21]
+
+        def parsed(uid, text):
+            if uid not in held:
+                if room[0] < 0:
+                    held.clear()
+                    room[0] = 1 << 21
+                held[uid] = shingles_of(text.as_py())
+                room[0] -= len(held[uid])
+            return held[uid]
+
         for batch in batches:
             got = {"u": [], "v": [], "jaccard": [], "aligned": []}
             a_texts, b_texts = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
             for i, (u, v) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                if u not in held:
-                    held = {u: shingles_of(a_texts[i].as_py())}
-                j, s = similarity(held[u], shingles_of(b_texts[i].as_py()), least)
+                j, s = similarity(parsed(u, a_texts[i]), parsed(v, b_texts[i]), least)
                 for k, x in zip(got, (u, v, j, s)):
                     got[k].append(x)
             yield pa.RecordBatch.from_pydict(got, pa.schema([("u", pa.int64()), ("v", pa.int64()), ("jaccard", pa.float64()), ("aligned", pa.float64())]))
@@ -200,33 +208,39 @@ def near_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     nodes = stored(marked.groupBy("digest").agg(F.min("uid").alias("node")), "near-nodes")
     unique = marked.join(nodes.select(F.col("node").alias("uid")), "uid", "left_semi")
     members = stored(unique.select("uid", "n", F.explode("keys").alias("key")), "near-members")
-    first = members.groupBy("key").agg(F.min(F.struct("uid", "n")).alias("first"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    first = stored(first.select("key", F.col("first.uid").alias("u"), F.col("first.n").alias("u_n"), "size"), "near-first")
-    shared = stored(members.join(first, "key").filter("uid <> u"), "near-shared")  # members of buckets that hold several
-    alike = F.least("n", "u_n") >= least * F.greatest("n", "u_n")  # else no link is possible
-    one = verified(shared.filter(alike).select("u", F.col("uid").alias("v")).distinct(), rows, marked, least)
-    links = one.filter("aligned > 0").select("u", "v")
-    joined = stored(components(links), "near-components")
-
-    # the rest: members of one bucket, not its first, in different components
-    rest = shared.filter("size > 2").join(one.select("u", F.col("v").alias("uid"), "jaccard"), ["u", "uid"], "left")
-    rest = rest.join(joined, F.col("uid") == F.col("node"), "left").select("key", "uid", "n", "jaccard", F.coalesce("component", "uid").alias("c"))
-    mixed = rest.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("key")
-    rest = stored(rest.join(mixed, "key", "left_semi"), "near-rest")
-    other = rest.select("key", *[F.col(c).alias(f"{c}2") for c in ("uid", "n", "jaccard", "c")])
-    may = F.abs(F.col("jaccard") - F.col("jaccard2")) <= 1 - least + 1e-9
-    open_pairs = (
-        rest.join(other, "key")
-        .filter((F.col("uid") < F.col("uid2")) & (F.col("c") != F.col("c2")))
-        .filter((F.least("n", "n2") >= least * F.greatest("n", "n2")) & F.coalesce(may, F.lit(True)))
-        .select(F.col("uid").alias("u"), F.col("uid2").alias("v"))
-        .distinct()
-        .join(one.select("u", "v"), ["u", "v"], "left_anti")
-    )
-    two = verified(open_pairs, rows, marked, least)
-    more = two.filter("aligned > 0").select("u", "v")
-    if not more.isEmpty():
-        joined = stored(components(links.unionByName(more)), "near-components")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = stored(members.join(sizes, "key"), "near-shared")  # members of buckets that hold several
+    weight = shared.groupBy("uid").agg(F.sum("size").alias("w"))
+    open_ = stored(shared.join(weight, "uid").select("key", "uid", "n", "w", F.lit(None).cast("double").alias("jaccard")), "near-open")
+
+    no_links = marked.select(F.col("uid").alias("u"), F.col("uid").alias("v")).limit(0)
+    done, joined = no_links.withColumn("jaccard", F.lit(0.0)).withColumn("aligned", F.lit(0.0)), None
+    for turn in range(CENTRES + 1):
+        rows_ = open_ if joined is None else open_.join(joined, F.col("uid") == F.col("node"), "left").drop("node")
+        rows_ = rows_.withColumn("c", F.col("uid") if joined is None else F.coalesce("component", "uid")).select("key", "uid", "n", "w", "jaccard", "c")
+        apart = rows_.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max(F.struct("w", (-F.col("uid")).alias("minus"), "n", "c")).alias("m")).filter("c0 <> c1")
+        apart = apart.select("key", (-F.col("m.minus")).alias("u"), F.col("m.n").alias("u_n"), F.col("m.c").alias("u_c"))
+        rows_ = stored(rows_.join(apart, "key"), "near-open")
+        if turn < CENTRES:  # everyone with the centre of the bucket
+            pairs = rows_.filter(F.col("uid") != F.col("u")).filter(F.col("c") != F.col("u_c"))
+            pairs = pairs.select(F.col("u"), F.col("uid").alias("v"), F.col("n").alias("a_n"), F.col("u_n").alias("b_n"))
+        else:  # the rest with one another
+            other = rows_.select("key", *[F.col(c).alias(f"{c}2") for c in ("uid", "n", "jaccard", "c")])
+            may = F.abs(F.col("jaccard") - F.col("jaccard2")) <= 1 - least + 1e-9
+            pairs = rows_.join(other, "key").filter((F.col("uid") < F.col("uid2")) & (F.col("c") != F.col("c2")) & F.coalesce(may, F.lit(True)))
+            pairs = pairs.select(F.col("uid").alias("u"), F.col("uid2").alias("v"), F.col("n").alias("a_n"), F.col("n2").alias("b_n"))
+        alike = F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")  # else no link is possible
+        pairs = pairs.filter(alike).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        pairs = stored(pairs.join(done.select("u", "v"), ["u", "v"], "left_anti"), "near-pairs")
+        if not pairs.isEmpty():
+            done = done.unionByName(verified(pairs, rows, marked, least))
+            joined = stored(components(done.filter("aligned > 0")), "near-components")
+        # a centre has met all of its bucket; the others keep their distance to the first one
+        first = done.select("u", "v", F.col("jaccard").alias("j"))
+        near = rows_.filter(F.col("uid") != F.col("u")).withColumn("lo", F.least("uid", "u")).withColumn("hi", F.greatest("uid", "u"))
+        near = near.drop("u").join(first.withColumnRenamed("u", "lo").withColumnRenamed("v", "hi"), ["lo", "hi"], "left")
+        open_ = near.select("key", "uid", "n", "w", F.col("j").alias("jaccard"))
+    joined = joined if joined is not None else marked.select(F.col("uid").alias("node"), F.col("uid").alias("component")).limit(0)
 
     placed = marked.select("file", "row", "doc_id", "uid", "digest").join(nodes, "digest").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left")
     placed = placed.select("file", "row", "doc_id", "uid", F.coalesce("component", "node").alias("component"))
