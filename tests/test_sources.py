@@ -187,3 +187,29 @@ def test_zero_byte_files_are_not_offered(spark, tmp_path):
     write_text(tmp_path / "raw" / "REAC_EMPTY.txt", "")
     write_text(tmp_path / "raw" / "REAC_FULL.txt", "primaryid$caseid$pt\n1$1$A\n")
     assert [p.rsplit("/", 1)[-1] for p in new_files(spark, REAC, raw, None)] == ["REAC_FULL.txt"]
+
+
+def test_shipped_contract_reads_quoted_newlines_of_one_level(spark, raw_dir):
+    from vigilo.sources.contracts import CONTRACTS
+    from vigilo.sources.ingest import snapshot_frame
+
+    c = next(c for c in CONTRACTS if c.table == "aact_conditions")
+    for folder, text in ((raw_dir, 'nct_id|name\nN1|"line one\nline two"\n'), (raw_dir / "archive", "nct_id|name\nOLD|x\n")):
+        folder.mkdir(exist_ok=True)
+        (folder / "conditions.txt").write_text(text, encoding="utf-8")
+    assert [(r.nct_id, r.name) for r in snapshot_frame(spark, c, str(raw_dir)).collect()] == [("N1", "line one\nline two")]
+
+
+def test_stream_refuses_a_reordered_header(spark, raw_dir):
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from vigilo.sources.contracts import CONTRACTS
+    from vigilo.streaming.incremental import stream_fixed_layout
+
+    c = next(c for c in CONTRACTS if c.table == "faers_reac")
+    landing = raw_dir / "landing"
+    landing.mkdir()
+    (landing / "REAC24Q1.txt").write_text("pt$primaryid$caseid\nRASH$1$2\n", encoding="utf-8")
+    with pytest.raises(StreamingQueryException):
+        stream_fixed_layout(spark, c, str(landing), str(raw_dir / "target"), str(raw_dir / "checkpoint"))

@@ -87,9 +87,9 @@ def stream_fixed_layout(
 
     ``readStream.csv`` with the contract as schema feeds the parquet file
     sink, whose own metadata log makes each file land exactly once; no
-    ``foreachBatch`` is needed.  Columns are taken by position (the header
-    line is skipped, not read), so a file with another column order must go
-    through ``ingest_available`` instead.
+    ``foreachBatch`` is needed.  Columns are taken by position, and each header
+    is checked against the contract: a file with another column order fails
+    the load and must go through ``ingest_available`` instead.
     """
     selector = c.filename if c.filename else f"*{c.keyword}*"
     rows = (
@@ -99,6 +99,7 @@ def stream_fixed_layout(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", "true" if c.multi_line else "false")
+        .option("enforceSchema", "false")  # a header in another order fails the load
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", _glob_any_case(selector))
         .option("maxFilesPerTrigger", max_files_per_trigger)
