@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from vigilo.operators import SaltPlan, SkewSpec, calendar, code_flags, first_by, latest_by, pick_by_priority, skew_join
 from vigilo.operators.flags import any_flag
-from vigilo.operators.joins import prepare
 
 
 def test_latest_version_numeric_nulls_last_and_ties(spark):
@@ -66,37 +65,51 @@ def _skewed(spark, hot_drugs=1000, hot_reacs=1000):
 
 def test_skew_join_splits_hot_key_and_keeps_every_pair(spark):
     left, right = _skewed(spark)
-    spec = SkewSpec(rows_per_split=100, max_splits=16)
+    spec = SkewSpec(pairs_per_cell=10_000)
     plan = SaltPlan.detect(left, right, ["r"], spec)
-    assert plan.splits == {(7,): (10, 10)}
+    assert [tuple(r) for r in plan.hot.collect()] == [(7, 10, 10)]
     out = skew_join(left, right, ["r"], spec=spec)
     # 1,000 x 1,000 pairs for the hot report plus 3 x 2 for each of 100 small ones
     assert out.count() == 1_000_000 + 600
     assert out.select("r", "d", "x").distinct().count() == 1_000_000 + 600
     # The hot key's pairs are spread over the 10 x 10 grid, not one task.
-    _, l2, r2, _ = prepare(left, right, ["r"], spec)
-    cells = plan.left(l2).join(plan.right(r2), plan.join_keys).groupBy("_salt_i", "_salt_j").count()
+    cells = plan.left(left).join(plan.right(right), plan.join_keys).groupBy("_salt_i", "_salt_j").count()
     assert cells.filter(F.col("count") >= 5000).count() == 100
 
 
 def test_skew_join_left_outer_keeps_unmatched_once(spark):
     left, right = _skewed(spark, hot_drugs=500, hot_reacs=0)
-    spec = SkewSpec(rows_per_split=100, max_splits=8)
-    out = skew_join(left, right, ["r"], how="left", spec=spec)
+    out = skew_join(left, right, ["r"], how="left", spec=SkewSpec(pairs_per_cell=100))
     plain = left.join(right, ["r"], "left")
-    assert sorted(out.collect()) == sorted(plain.collect())
+    assert sorted(out.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_skew_join_left_splits_keys_hot_on_the_right(spark):
+    left, right = _skewed(spark, hot_drugs=3, hot_reacs=900)
+    left = left.unionByName(spark.createDataFrame([(-1, 1), (None, 2)], left.schema))
+    spec = SkewSpec(pairs_per_cell=100)
+    assert [tuple(r) for r in SaltPlan.detect(left, right, ["r"], spec).hot.collect()] == [(7, 1, 27)]
+    out = skew_join(left, right, ["r"], how="left", spec=spec)
+    assert sorted(out.collect(), key=str) == sorted(left.join(right, ["r"], "left").collect(), key=str)
+
+
+def test_many_pairs_of_moderate_sides_are_split(spark):
+    left, right = _skewed(spark, hot_drugs=20_000, hot_reacs=20_000)
+    hot = SaltPlan.detect(left, right, ["r"]).hot.collect()
+    assert [tuple(r) for r in hot] == [(7, 10, 10)]  # 400 million pairs, 4 million a cell
 
 
 def test_no_hot_keys_is_a_plain_join(spark):
     left, right = _skewed(spark, hot_drugs=3, hot_reacs=3)
-    plan = SaltPlan.detect(left, right, ["r"], SkewSpec())
-    assert plan.empty and plan.join_keys == ["r"]
+    assert SaltPlan.detect(left, right, ["r"]).hot.isEmpty()
+    off = SaltPlan.detect(left, right, ["r"], SkewSpec(pairs_per_cell=0))
+    assert off.hot is None and off.join_keys == ["r"]
 
 
 def test_skew_join_on_key_only_frames(spark):
     left = spark.range(400).select(F.lit(1).cast("long").alias("r")).unionByName(spark.range(5).select(F.col("id").alias("r")))
     right = spark.range(3).select(F.lit(1).cast("long").alias("r"))
-    out = skew_join(left, right, ["r"], spec=SkewSpec(rows_per_split=50))
+    out = skew_join(left, right, ["r"], spec=SkewSpec(pairs_per_cell=50))
     assert out.count() == 401 * 3
 
 

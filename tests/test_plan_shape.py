@@ -40,8 +40,24 @@ def test_file_listing_reads_no_content(spark, capsys, tmp_path):
 
 def test_salted_fact_shuffles_each_input_once_on_report_and_salt(spark, capsys):
     s = _raw(spark, n_drugs=300, n_reacs=300)
-    fact = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(rows_per_split=50, max_splits=8))
-    plan = plan_of(fact, capsys)
+    fact = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(pairs_per_cell=2_500))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for inputs too large to broadcast
+    try:
+        plan = plan_of(fact, capsys)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     salted = re.findall(r"hashpartitioning\(caseid#\d+L, primaryid#\d+L, _salt_i#\d+, _salt_j#\d+", plan)
     assert len(salted) == 3  # drugs, report grain, reactions
-    assert "BroadcastHashJoin" in plan  # the bounded salt table, joined map-side
+
+
+def test_building_the_facts_runs_no_job(spark):
+    s = _raw(spark, n_drugs=300, n_reacs=300)
+    spark.sparkContext.setJobGroup("only-built", "facts")
+    try:
+        facts.report_fact(*s)
+        facts.report_summary(*s)
+        facts.report_drugs(*s)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("only-built")) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")

@@ -36,8 +36,8 @@ def _raw(spark, n_drugs=1000, n_reacs=1000):
 
 def test_hot_report_fact_is_split_and_exact(spark):
     s = _raw(spark)
-    salted = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(rows_per_split=100, max_splits=16))
-    plain = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(max_hot_keys=0))
+    salted = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(pairs_per_cell=10_000))
+    plain = facts.report_fact(*s[:3], s[3], s[4], skew=SkewSpec(pairs_per_cell=0))
     assert salted.count() == 1_000_000 + 20
     hot = salted.filter(F.col("primaryid") == 1)
     assert hot.select("drug_sk", "reaction_sk").distinct().count() == 1_000_000
@@ -57,6 +57,17 @@ def test_hot_study_trial_fact(spark):
     cond = silver.conditions(spark.range(n).select(
         F.lit("N1").alias("nct_id"), F.concat(F.lit("c"), F.col("id").cast("string")).alias("name")
     ).unionByName(spark.createDataFrame([("N2", "y")], "nct_id string, name string")))
-    salted = facts.trial_fact(studies, inter, cond, skew=SkewSpec(rows_per_split=50, max_splits=8))
+    salted = facts.trial_fact(studies, inter, cond, skew=SkewSpec(pairs_per_cell=2_500))
     assert salted.count() == n * n + 1
     assert salted.distinct().count() == n * n + 1
+
+
+def test_summaries_equal_the_summed_fact(spark):
+    s = _raw(spark, n_drugs=30, n_reacs=20)
+    fact = facts.report_fact(*s, skew=SkewSpec(pairs_per_cell=0))
+    rest = [c for c in fact.columns if c not in ("drug_sk", "reaction_sk", "event_count")]
+    for frame, keys in ((facts.report_summary(*s), rest), (facts.report_drugs(*s), [*rest, "drug_sk"])):
+        summed = fact.groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+        frame = frame.select(*summed.columns)
+        assert frame.count() == summed.count()
+        assert frame.exceptAll(summed).isEmpty()

@@ -26,14 +26,13 @@ def main(argv=None) -> dict:
                     help="steps to run, in order (measures writes the kpi_* tables)")
     ap.add_argument("--format", default="parquet", help="table format of the session catalog")
     ap.add_argument("--db-prefix", default="pv", help="databases <prefix>_bronze, _silver, _gold, _audit")
-    ap.add_argument("--rows-per-split", type=int, default=SkewSpec.rows_per_split,
-                    help="rows of one report or study on one side above which its joins are split")
-    ap.add_argument("--max-hot-keys", type=int, default=SkewSpec.max_hot_keys, help="most keys split; 0 turns splitting off")
+    ap.add_argument("--pairs-per-cell", type=int, default=SkewSpec.pairs_per_cell,
+                    help="pairs of one report or study above which its joins are split; 0 turns splitting off")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("vigilo").getOrCreate()
     store = TableStore(spark, databases={k: f"{args.db_prefix}_{k}" for k in ("bronze", "silver", "gold", "audit")}, fmt=args.format)
-    skew = SkewSpec(rows_per_split=args.rows_per_split, max_hot_keys=args.max_hot_keys)
+    skew = SkewSpec(pairs_per_cell=args.pairs_per_cell)
     p = Pipeline(spark, {"AACT": args.aact, "FAERS": args.faers}, store=store, skew=skew)
     p.setup()
     written = {layer: getattr(p, layer)() for layer in LAYERS if layer in args.layers}

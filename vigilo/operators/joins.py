@@ -2,38 +2,33 @@
 
 A many-to-many join on a report or study key multiplies rows inside each key,
 and one key may hold a third of all rows.  A plain sort-merge join sends that
-key to one task.  ``SaltPlan`` splits such hot keys over a grid of tasks:
-
-* count rows per key and side in one job (partial + final aggregate: the
-  hot key is combined map-side, so the count itself is not skewed);
-* keep the keys whose count exceeds ``rows_per_split`` -- at most
-  ``max_hot_keys`` of them, ordered by count then key, so the set is bounded
-  and deterministic; every other key takes the ordinary path, exactly;
-* a hot key with ``a`` left rows and ``b`` right rows gets ``p = ceil(a/t)``
-  left splits and ``q = ceil(b/t)`` right splits (capped by ``max_splits``);
-  a left row goes to split ``hash(row) mod p`` and is copied to all ``q``
-  right splits, a right row to ``hash(row) mod q`` and copied to all ``p``;
-  each (key, i, j) cell then joins its share and every pair meets in exactly
-  one cell.
-
-The hot-key table is collected once (bounded by ``max_hot_keys``) and
-broadcast as a literal relation, so every use and every task retry sees the
-same salt assignment; the split is a content hash, not ``rand()``, so a
-recomputed partition after executor loss lands in the same cells.  Rows that
-are identical hash alike, so inputs are made distinct before they are split.
-
-``prepare`` first checkpoints the join inputs (and any other frame the joins
-read) together, in one job, into ``spark.checkpoint.dir``: the count and the
-joins then read them once, and the lineage behind the joins is cut.
+key to one task.  ``SaltPlan`` splits such keys over a grid of tasks:
+
+* rows per key are counted on both sides (partial + final aggregate: a hot key
+  is combined map-side, so the count itself is not skewed), and keys that would
+  give more than ``pairs_per_cell`` pairs are hot; every other key takes the
+  ordinary path, exactly;
+* a hot key with ``a`` left and ``b`` right rows gets a p x q grid with
+  ``(a / p) * (b / q) <= pairs_per_cell``: the smaller side is split down to
+  the square root of that bound, the larger as far as the bound then asks;
+* a left row goes to split ``hash(row) mod p`` and is copied to all ``q`` right
+  splits, a right row to ``hash(row) mod q`` and copied to all ``p``; each
+  (key, i, j) cell joins its share and every pair meets in exactly one cell.
+
+Nothing runs while a plan is built: the hot keys are a DataFrame, without a
+limit on their number or on the splits, and part of the one query.  They carry
+no broadcast hint, as their number grows with the data: AQE broadcasts them
+when their measured size is small.  The split is a content hash, not
+``rand()``, so a recomputed partition after executor loss lands in the same
+cells; rows that are identical hash alike, so make inputs distinct first.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 SALT_I = "_salt_i"
 SALT_J = "_salt_j"
@@ -43,182 +38,91 @@ _Q = "_salt_q"
 
 @dataclass(frozen=True)
 class SkewSpec:
-    """When and how far to split hot keys.
-
-    rows_per_split: a side's rows per key above which the key is split, and
-        the target rows per split;
-    max_splits: most splits of one side of one key;
-    max_hot_keys: most keys split (the largest first); 0 turns detection off
-        and leaves the joins plain;
-    checkpoint_inputs: materialize the inputs once before counting.
-    """
-
-    rows_per_split: int = 20_000
-    max_splits: int = 512
-    max_hot_keys: int = 10_000
-    # Checkpoint both join inputs (to spark.checkpoint.dir) before counting,
-    # so the count and the join read them once instead of recomputing them.
-    checkpoint_inputs: bool = True
+    """``pairs_per_cell``: pairs of one key that one task may join; a key with
+    more is split.  0 leaves the joins plain."""
 
-
-def materialize_together(frames: Sequence[DataFrame], keys: Sequence[str]) -> list[DataFrame]:
-    """Checkpoint several frames that share ``keys`` in one job.
-
-    They are stacked as one side-tagged frame (each side's other columns in
-    its own struct), so their upstream stages run side by side in a single
-    job; each frame is then read back from the checkpoint by its tag.
-    """
-    from vigilo.session import checkpoint_root
-
-    checkpoint_root(frames[0].sparkSession)  # makes sure a checkpoint folder is set
-
-    def payload(cols):  # a frame with key columns only still needs a struct field
-        return F.struct(*cols) if cols else F.struct(F.lit(0).alias("_none"))
-
-    payloads = []
-    for df in frames:
-        cols = [c for c in df.columns if c not in keys]
-        payloads.append((cols, df.select(payload(cols).alias("p")).schema["p"].dataType))
-    tagged = None
-    for i, df in enumerate(frames):
-        parts = [
-            payload(payloads[j][0]).alias(f"_s{j}") if j == i else F.lit(None).cast(payloads[j][1]).alias(f"_s{j}")
-            for j in range(len(frames))
-        ]
-        side = df.select(*keys, F.lit(i).alias("_side"), *parts)
-        tagged = side if tagged is None else tagged.unionByName(side)
-    both = tagged.checkpoint(eager=True)
-    return [
-        both.filter(F.col("_side") == i).select(*keys, *[F.col(f"_s{i}.{c}").alias(c) for c in payloads[i][0]])
-        for i in range(len(frames))
-    ]
-
-
-def prepare(
-    left: DataFrame,
-    right: DataFrame,
-    keys: Sequence[str],
-    spec: SkewSpec = SkewSpec(),
-    split_right: bool = True,
-    also: Sequence[DataFrame] = (),
-):
-    """(plan, left, right, also): the salt plan detected on the inputs, and
-    the inputs themselves -- checkpointed together in one job when the spec
-    says so, together with ``also`` (other frames keyed the same way that
-    the joins will read)."""
-    if spec.max_hot_keys > 0 and spec.checkpoint_inputs:
-        left, right, *also = materialize_together([left, right, *also], keys)
-    return SaltPlan.detect(left, right, keys, spec, split_right), left, right, list(also)
-
-
-def _hot(left: DataFrame, right: DataFrame | None, keys: Sequence[str], spec: SkewSpec) -> tuple[dict, dict]:
-    """Hot keys of both sides in one job: rows per (key, side) over a tagged
-    union, then the top ``max_hot_keys`` above the threshold."""
-    if spec.max_hot_keys <= 0:
-        return {}, {}
-    tagged = left.select(*keys, F.lit(0).alias("_side"))
-    if right is not None:
-        tagged = tagged.unionByName(right.select(*keys, F.lit(1).alias("_side")))
-    rows = (
-        tagged.groupBy(*keys, "_side")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > spec.rows_per_split)
-        .orderBy(F.col("_n").desc(), *[F.col(k).asc_nulls_last() for k in keys], "_side")
-        .limit(spec.max_hot_keys)
-        .collect()
-    )
-    sides: tuple[dict, dict] = ({}, {})
-    for r in rows:
-        sides[r["_side"]][tuple(r[k] for k in keys)] = min(spec.max_splits, math.ceil(r["_n"] / spec.rows_per_split))
-    return sides
+    pairs_per_cell: int = 4_000_000
 
 
 class SaltPlan:
-    """Salt assignment for joins on ``keys`` between a left and a right input."""
+    """Salt assignment for joins on ``keys`` between a left and a right input.
+
+    ``hot`` holds a row (keys, splits of the left side, splits of the right
+    side) per hot key; ``None`` leaves every frame as it is."""
 
-    def __init__(self, spark: SparkSession, keys: Sequence[str], key_schema: T.StructType, splits: dict[tuple, tuple[int, int]]):
+    def __init__(self, keys: Sequence[str], hot: DataFrame | None):
         self.keys = list(keys)
-        self.splits = splits
-        self._table = None
-        if splits:
-            schema = T.StructType(
-                [key_schema[k] for k in self.keys]
-                + [T.StructField(_P, T.IntegerType(), False), T.StructField(_Q, T.IntegerType(), False)]
-            )
-            rows = [(*k, p, q) for k, (p, q) in sorted(splits.items(), key=lambda kv: repr(kv[0]))]
-            self._table = F.broadcast(spark.createDataFrame(rows, schema))
+        self.hot = hot
 
     @classmethod
-    def detect(
-        cls,
-        left: DataFrame,
-        right: DataFrame,
-        keys: Sequence[str],
-        spec: SkewSpec = SkewSpec(),
-        split_right: bool = True,
-    ) -> SaltPlan:
-        left_hot, right_hot = _hot(left, right if split_right else None, keys, spec)
-        splits = {k: (left_hot.get(k, 1), right_hot.get(k, 1)) for k in set(left_hot) | set(right_hot)}
-        key_schema = T.StructType([left.schema[k] for k in keys])
-        return cls(left.sparkSession, keys, key_schema, splits)
-
-    @property
-    def empty(self) -> bool:
-        return not self.splits
+    def detect(cls, left: DataFrame, right: DataFrame, keys: Sequence[str], spec: SkewSpec = SkewSpec()) -> SaltPlan:
+        if spec.pairs_per_cell <= 0:
+            return cls(keys, None)
+        most = spec.pairs_per_cell
+        edge = max(1, int(most**0.5))
+        a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
+        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_a")).join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")), list(keys))
+        less, more = F.least(a, b), F.greatest(a, b)
+        few = F.ceil(less / edge)
+        many = F.ceil(more * F.ceil(less / few) / most)
+        hot = counts.filter(a * b > most).select(
+            *keys,
+            F.when(a <= b, few).otherwise(many).cast("int").alias(_P),
+            F.when(a <= b, many).otherwise(few).cast("int").alias(_Q),
+        )
+        return cls(keys, hot)
 
     @property
     def join_keys(self) -> list[str]:
-        return self.keys if self.empty else [*self.keys, SALT_I, SALT_J]
+        return self.keys if self.hot is None else [*self.keys, SALT_I, SALT_J]
 
-    def _with_splits(self, df: DataFrame) -> DataFrame:
-        return (
-            df.join(self._table, self.keys, "left")
-            .withColumn(_P, F.coalesce(F.col(_P), F.lit(1)))
-            .withColumn(_Q, F.coalesce(F.col(_Q), F.lit(1)))
-        )
+    def _place(self, df: DataFrame, i, j) -> DataFrame:
+        if self.hot is None:
+            return df
+        hashed = F.xxhash64(*[F.col(c) for c in df.columns])
+        one = F.lit(1)
+        s = df.withColumn("_salt_h", hashed).join(self.hot, self.keys, "left").withColumns({_P: F.coalesce(_P, one), _Q: F.coalesce(_Q, one)})
+        return s.withColumn(SALT_I, i(_P)).withColumn(SALT_J, j(_Q)).drop(_P, _Q, "_salt_h")
 
     @staticmethod
-    def _bucket(df: DataFrame, n: str) -> F.Column:
-        return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col(n).cast("long")).cast("int")
+    def _share(n: str) -> Column:
+        return F.pmod(F.col("_salt_h"), F.col(n).cast("long")).cast("int")
 
     @staticmethod
-    def _every(n: str) -> F.Column:
+    def _every(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     def left(self, df: DataFrame) -> DataFrame:
         """Split on the left axis, copy across the right axis."""
-        if self.empty:
-            return df
-        s = self._with_splits(df)
-        return s.withColumn(SALT_I, self._bucket(df, _P)).withColumn(SALT_J, self._every(_Q)).drop(_P, _Q)
+        return self._place(df, self._share, self._every)
 
     def right(self, df: DataFrame) -> DataFrame:
         """Copy across the left axis, split on the right axis."""
-        if self.empty:
-            return df
-        s = self._with_splits(df)
-        return s.withColumn(SALT_I, self._every(_P)).withColumn(SALT_J, self._bucket(df, _Q)).drop(_P, _Q)
+        return self._place(df, self._every, self._share)
 
     def both(self, df: DataFrame) -> DataFrame:
         """Copy to every cell: for inputs with one row per key."""
-        if self.empty:
-            return df
-        s = self._with_splits(df)
-        return s.withColumn(SALT_I, self._every(_P)).withColumn(SALT_J, self._every(_Q)).drop(_P, _Q)
+        return self._place(df, self._every, self._every)
 
     def unsalt(self, df: DataFrame) -> DataFrame:
-        return df if self.empty else df.drop(SALT_I, SALT_J)
+        return df if self.hot is None else df.drop(SALT_I, SALT_J)
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", spec: SkewSpec = SkewSpec()) -> DataFrame:
     """``left.join(right, keys, how)`` with hot keys split over several tasks.
 
-    ``how`` is ``inner`` or ``left``; a left outer join splits the left side
-    only, because copies of an unmatched left row would each emit a NULL row.
+    ``how`` is ``inner`` or ``left``.  The rows of a left join that match are
+    those of the inner join, so keys hot on either side are split; the others
+    are added from an anti join, since copies of an unmatched row would each
+    give a row of nulls.
     """
     if how not in ("inner", "left"):
         raise ValueError("skew_join supports how='inner' or 'left'")
-    plan, left, right, _ = prepare(left, right, keys, spec, split_right=(how == "inner"))
-    if plan.empty:
+    plan = SaltPlan.detect(left, right, keys, spec)
+    if plan.hot is None:
         return left.join(right, list(keys), how)
-    return plan.unsalt(plan.left(left).join(plan.right(right), plan.join_keys, how))
+    matched = plan.unsalt(plan.left(left).join(plan.right(right), plan.join_keys))
+    if how == "inner":
+        return matched
+    alone = left.join(right.select(*keys).distinct(), list(keys), "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)

@@ -14,9 +14,13 @@ Plan, in Spark terms:
 2. drug and reaction rows, distinct per report;
 3. drugs ⋈ report grain ⋈ reactions, all on the report key plus a salt
    (``SaltPlan``): ordinary reports take one cell, a report with more than
-   ``rows_per_split`` drugs or reactions is spread over a grid of tasks.
-   Both joins share the (report, salt) partitioning, so each input is
-   shuffled once.
+   ``pairs_per_cell`` drug x reaction pairs is spread over a grid of tasks.
+   Both joins share the (report, salt) partitioning.
+
+Measures that only sum events or count reports do not need the product:
+``report_summary`` (a row per report) and ``report_drugs`` (a row per report
+and drug) hold the same columns with the product's size in ``event_count``,
+and ``trial_drugs`` is the trial fact without its conditions.
 
 Surrogate keys are computed from the natural keys (see ``functions.keys``);
 a dimension built from the same silver tables holds every key, so the
@@ -35,7 +39,7 @@ from pyspark.sql import DataFrame, functions as F
 from vigilo.functions import canon, date_key, nonblank, surrogate_key, to_bigint
 from vigilo.operators.dedupe import first_by
 from vigilo.operators.flags import any_flag, code_flags
-from vigilo.operators.joins import SkewSpec, prepare
+from vigilo.operators.joins import SaltPlan, SkewSpec
 from vigilo.plans.dims import patient_key, profile_columns
 
 REPORT_KEY = ["caseid", "primaryid"]
@@ -122,7 +126,21 @@ def report_grain(
     )
 
 
-def report_fact(
+def _report_drugs(silver_drug: DataFrame, dims: Mapping[str, DataFrame] | None) -> DataFrame:
+    drugs = _keyed(silver_drug.select(*_report_key_cols(), canon("drugname").alias("drug_key")).filter(nonblank("drug_key")))
+    return _lookup(drugs.distinct(), dims, "drug", "drug_key", "drug_sk", "inner").select(*REPORT_KEY, "drug_sk")
+
+
+def _report_reactions(silver_reac: DataFrame, dims: Mapping[str, DataFrame] | None) -> DataFrame:
+    reactions = _keyed(silver_reac.select(*_report_key_cols(), canon("pt").alias("reaction_key")).filter(nonblank("reaction_key")))
+    return _lookup(reactions.distinct(), dims, "reaction", "reaction_key", "reaction_sk", "inner").select(*REPORT_KEY, "reaction_sk")
+
+
+def _counted(rows: DataFrame, name: str) -> DataFrame:
+    return rows.groupBy(*REPORT_KEY).agg(F.count(F.lit(1)).alias(name))
+
+
+def report_summary(
     silver_demo: DataFrame,
     silver_drug: DataFrame,
     silver_reac: DataFrame,
@@ -130,33 +148,61 @@ def report_fact(
     silver_outc: DataFrame,
     codes: Mapping[str, str] = OUTCOME_CODES,
     serious: Sequence[str] | None = None,
-    skew: SkewSpec = SkewSpec(),
     dims: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
+    """The event fact summed to one row per report, without its product: the
+    events of a report are its drugs times its reactions."""
+    drugs = _counted(_report_drugs(silver_drug, dims), "n_drugs")
+    reactions = _counted(_report_reactions(silver_reac, dims), "n_reactions")
     report = report_grain(silver_demo, silver_indi, silver_outc, codes, serious, dims)
+    both = report.join(drugs, REPORT_KEY).join(reactions, REPORT_KEY)
+    return both.withColumn("event_count", F.col("n_drugs") * F.col("n_reactions")).drop("n_drugs", "n_reactions")
 
-    drugs = _keyed(silver_drug.select(*_report_key_cols(), canon("drugname").alias("drug_key")).filter(nonblank("drug_key")))
-    drugs = _lookup(drugs.distinct(), dims, "drug", "drug_key", "drug_sk", "inner").select(*REPORT_KEY, "drug_sk")
 
-    reactions = _keyed(silver_reac.select(*_report_key_cols(), canon("pt").alias("reaction_key")).filter(nonblank("reaction_key")))
-    reactions = _lookup(reactions.distinct(), dims, "reaction", "reaction_key", "reaction_sk", "inner").select(
-        *REPORT_KEY, "reaction_sk"
-    )
+def report_drugs(
+    silver_demo: DataFrame,
+    silver_drug: DataFrame,
+    silver_reac: DataFrame,
+    silver_indi: DataFrame,
+    silver_outc: DataFrame,
+    codes: Mapping[str, str] = OUTCOME_CODES,
+    serious: Sequence[str] | None = None,
+    dims: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """The event fact summed to one row per report and drug: its events are
+    the reactions of the report."""
+    reactions = _counted(_report_reactions(silver_reac, dims), "event_count")
+    report = report_grain(silver_demo, silver_indi, silver_outc, codes, serious, dims).join(reactions, REPORT_KEY)
+    return _report_drugs(silver_drug, dims).join(report, REPORT_KEY)
+
+
+def report_fact(
+    silver_demo: DataFrame,
+    silver_drug: DataFrame,
+    silver_reac: DataFrame,
+    silver_indi: DataFrame,
+    silver_outc: DataFrame,
+    codes: Mapping[str, str] = OUTCOME_CODES,
+    serious: Sequence[str] | None = None,
+    skew: SkewSpec = SkewSpec(),
+    dims: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    report = report_grain(silver_demo, silver_indi, silver_outc, codes, serious, dims)
 
-    salt, drugs, reactions, (report,) = prepare(drugs, reactions, REPORT_KEY, skew, also=[report])
+    drugs, reactions = _report_drugs(silver_drug, dims), _report_reactions(silver_reac, dims)
+    salt = SaltPlan.detect(drugs, reactions, REPORT_KEY, skew)
     keys = salt.join_keys
     fact = salt.left(drugs).join(salt.both(report), keys).join(salt.right(reactions), keys)
     return salt.unsalt(fact).select(*FACT_BASE_COLUMNS, *codes, ANY_SERIOUS, F.lit(1).alias("event_count"))
 
 
-def trial_fact(
+def _trial_inputs(
     silver_studies: DataFrame,
     silver_interventions: DataFrame,
     silver_conditions: DataFrame,
-    skew: SkewSpec = SkewSpec(),
-    dims: Mapping[str, DataFrame] | None = None,
-) -> DataFrame:
-    """One row per (study, drug, condition) of registered trials."""
+    dims: Mapping[str, DataFrame] | None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Drugs, conditions and surrogate key of the studies."""
     trial_drugs = (
         silver_interventions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("drug_key"))
         .filter(nonblank("study_id") & nonblank("drug_key"))
@@ -182,8 +228,30 @@ def trial_fact(
             .distinct()
             .withColumn("study_sk", surrogate_key("study_id"))
         )
+    return trial_drugs, trial_conditions, studies
+
 
-    salt, trial_drugs, trial_conditions, (studies,) = prepare(trial_drugs, trial_conditions, STUDY_KEY, skew, also=[studies])
+def trial_drugs(
+    silver_studies: DataFrame,
+    silver_interventions: DataFrame,
+    silver_conditions: DataFrame,
+    dims: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """(study, drug) of the trial fact: pairs of studies that have a condition."""
+    drugs, conditions, studies = _trial_inputs(silver_studies, silver_interventions, silver_conditions, dims)
+    return drugs.join(studies, STUDY_KEY).join(conditions.select(*STUDY_KEY).distinct(), STUDY_KEY, "left_semi").select("study_sk", "drug_sk")
+
+
+def trial_fact(
+    silver_studies: DataFrame,
+    silver_interventions: DataFrame,
+    silver_conditions: DataFrame,
+    skew: SkewSpec = SkewSpec(),
+    dims: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """One row per (study, drug, condition) of registered trials."""
+    trial_drugs_, conditions, studies = _trial_inputs(silver_studies, silver_interventions, silver_conditions, dims)
+    salt = SaltPlan.detect(trial_drugs_, conditions, STUDY_KEY, skew)
     keys = salt.join_keys
-    fact = salt.left(trial_drugs).join(salt.both(studies), keys).join(salt.right(trial_conditions), keys)
+    fact = salt.left(trial_drugs_).join(salt.both(studies), keys).join(salt.right(conditions), keys)
     return salt.unsalt(fact).select("study_sk", "drug_sk", "condition_sk", F.lit(1).alias("trial_mapping_count"))

@@ -43,3 +43,15 @@ def report_fact(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUT
 
 def trial_fact(s: Mapping[str, DataFrame], skew: SkewSpec = SkewSpec()) -> DataFrame:
     return facts.trial_fact(s["aact_studies"], s["aact_interventions"], s["aact_conditions"], skew=skew)
+
+
+def report_summary(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUTCOME_CODES) -> DataFrame:
+    return facts.report_summary(s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["faers_outc"], codes=codes)
+
+
+def report_drugs(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUTCOME_CODES) -> DataFrame:
+    return facts.report_drugs(s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["faers_outc"], codes=codes)
+
+
+def trial_drugs(s: Mapping[str, DataFrame]) -> DataFrame:
+    return facts.trial_drugs(s["aact_studies"], s["aact_interventions"], s["aact_conditions"])
