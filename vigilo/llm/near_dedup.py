@@ -167,7 +167,7 @@ def sketches(rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float) -> DataFrame:
-    """(u, v, jaccard, aligned) of pairs (u, v) of nodes, stored."""
+    """(u, v, jaccard, aligned) of stored pairs (u, v) of nodes, stored."""
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -193,7 +193,6 @@ def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float)
                     got[k].append(x)
             yield pa.RecordBatch.from_pydict(got, pa.schema([("u", pa.int64()), ("v", pa.int64()), ("jaccard", pa.float64()), ("aligned", pa.float64())]))
 
-    pairs = stored(pairs, "candidate-pairs")
     nodes = pairs.select(F.col("u").alias("uid")).unionByName(pairs.select(F.col("v").alias("uid"))).distinct()
     wanted = where.select("uid", "file", "row").join(nodes, "uid", "left_semi")
     texts = stored(rows.select("file", "row", "text").join(wanted, ["file", "row"]).select("uid", "text"), "candidate-texts")
@@ -233,8 +232,12 @@ def near_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         pairs = pairs.filter(alike).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
         pairs = stored(pairs.join(done.select("u", "v"), ["u", "v"], "left_anti"), "near-pairs")
         if not pairs.isEmpty():
-            done = done.unionByName(verified(pairs, rows, marked, least))
-            joined = stored(components(done.filter("aligned > 0")), "near-components")
+            found = verified(pairs, rows, marked, least)
+            done = done.unionByName(found)
+            links = found.filter("aligned > 0").select("u", "v")
+            if joined is not None:  # what is joined already is a star: one link a node
+                links = links.unionByName(joined.select(F.col("node").alias("u"), F.col("component").alias("v")))
+            joined = stored(components(links), "near-components")
         # a centre has met all of its bucket; the others keep their distance to the first one
         first = done.select("u", "v", F.col("jaccard").alias("j"))
         near = rows_.filter(F.col("uid") != F.col("u")).withColumn("lo", F.least("uid", "u")).withColumn("hi", F.greatest("uid", "u"))
