@@ -124,7 +124,7 @@ def test_near_groups_against_all_pairs(spark, docs, rows):
 
     for i in range(len(every)):
         for j in range(i):
-            if (len(parsed[i]) == len(parsed[j]) == 0) or (len(parsed[i]) and len(parsed[j]) and N.similarity(parsed[i], parsed[j])[1] > 0):
+            if (len(parsed[i]) == len(parsed[j]) == 0) or (len(parsed[i]) and len(parsed[j]) and N.similarity(parsed[i], parsed[j]) > 0):
                 a, b = root(i), root(j)
                 parent[max(a, b)] = min(a, b)
     classes = {}
@@ -141,12 +141,26 @@ def test_alignment_needs_order():
     from vigilo.llm import near_dedup as N
 
     a = np.arange(100, dtype=np.uint64)
-    assert N.similarity(a, a) == (1.0, 1.0)
-    assert N.similarity(a, a[::-1].copy())[1] == 0.0
-    assert N.similarity(a, np.concatenate([a[50:], a[:50]]))[1] == 0.0
+    assert N.similarity(a, a) == 1.0
+    assert N.similarity(a, a[::-1].copy()) == 0.0
+    assert N.similarity(a, np.concatenate([a[50:], a[:50]])) == 0.0
     assert N.longest_chain([3, 1, 2, 9, 4, 5]) == 4
 
 
+def test_outlines_bound_what_is_shared():
+    from vigilo.llm import near_dedup as N
+
+    rng = np.random.default_rng(7)
+    for n in (1, 5, 64, 65, 400):
+        pool = rng.integers(0, 1 << 63, 3 * n).astype(np.uint64)
+        centre = pool[:n]
+        for _ in range(20):
+            a, b = (rng.choice(pool, rng.integers(1, 2 * n + 1), replace=False) for _ in range(2))
+            (x, x_spare), (y, y_spare) = N.outline(centre, a), N.outline(centre, b)
+            bound = sum(int(i).bit_count() for i in (x & y).view(np.uint64)) + min(x_spare, y_spare)
+            assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+
+
 def test_components_of_a_chain(spark):
     from vigilo.llm.components import components
 

@@ -17,14 +17,15 @@ number (the n-th time it occurs), so labelled shingles of a text are distinct.
     0.8 or more links the pair.
 *   Candidates without all pairs.  Every member of a bucket is compared with
     the bucket's centre, the member that meets the most others over all its
-    buckets (an original rather than one of its copies).  Links are contracted
-    to components, and buckets whose members are not all in one component get
-    a second centre.  Members of one bucket that still are in different
-    components are compared with one another, unless the triangle inequality
-    of the Jaccard distance rules a link out from their distances to the last
-    centre.  So every pair that shares a key is linked, joined through others,
-    or shown to be no link, and a bucket of thousands of copies costs about one
-    comparison a member.
+    buckets (an original rather than one of its copies), and keeps its outline
+    against it: a bit for each of the centre's shingles that it has too, and a
+    hashed bit for each other shingle.  Links are contracted to components.
+    Members of one bucket that still are in different components are compared
+    with one another, unless their outlines show that they share too few
+    shingles: common bits, and what fell on a bit already set, bound the shared
+    shingles from above, so no link is lost.  So every pair that shares a key is
+    linked, joined through others, or shown to be no link, and a bucket of
+    thousands of copies costs about one comparison a member.
 
 Copies (equal word sequences) are one node: the first row stands for them.
 Rows are exploded, counted and joined by key; hot keys are pre-aggregated
@@ -52,8 +53,8 @@ SIMILARITY = 0.8
 #: (fewest shingles, most, hash functions, samples of each): tiers overlap so far
 #: that two texts of the required similarity have one in common.
 TIERS = ((1, 14, 48, 4), (11, 64, 48, 6), (50, 1 << 62, 80, 12))
-#: Rounds in which a bucket's members meet its centre, before the rest meet one another.
-CENTRES = 2
+#: Bits of an outline for shingles that the centre has not, by shingle of the centre.
+OTHER_BITS = 2
 _CHUNK = 4096
 
 
@@ -115,24 +116,45 @@ def longest_chain(positions) -> int:
     return len(ends)
 
 
-def similarity(a, b, least: float = SIMILARITY) -> tuple[float, float]:
-    """(Jaccard similarity, aligned similarity) of two labelled sequences; the
-    second is 0 where it would be under ``least``."""
+def shared_positions(a, b):
+    """Positions in a and in b of the labelled shingles that both have."""
+    import numpy as np
+
+    return np.intersect1d(a, b, assume_unique=True, return_indices=True)[1:]
+
+
+def similarity(a, b, least: float = SIMILARITY, shared=None) -> float:
+    """Aligned similarity of two labelled sequences; 0 where it would be under ``least``."""
     import math
 
     import numpy as np
 
-    _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
-    total, shared = len(a) + len(b), len(at_a)
-    jaccard = shared / (total - shared) if total > shared else 1.0
-    if jaccard < least:
-        return jaccard, 0.0
+    at_a, at_b = shared_positions(a, b) if shared is None else shared
+    total, both = len(a) + len(b), len(at_a)
+    if both < least / (1 + least) * total - 1e-9:
+        return 0.0
     band = max(len(a), len(b)) - math.ceil(least / (1 + least) * total - 1e-9)
     near = np.abs(at_a - at_b) <= band
     path = at_b[near][np.argsort(at_a[near])]
     aligned = len(path) if (np.diff(path) > 0).all() else longest_chain(path.tolist())
     found = aligned / (total - aligned) if total > aligned else 1.0
-    return jaccard, found if found >= least else 0.0
+    return found if found >= least else 0.0
+
+
+def outline(centre, other, shared=None):
+    """(words of 64 bits, shingles without a bit of their own) of a member seen
+    from its centre.  Two members share at most as many shingles as their words
+    have common bits, and the lesser count of shingles without a bit."""
+    import numpy as np
+
+    at_c, at_o = shared_positions(centre, other) if shared is None else shared
+    words = max(1, -(-len(centre) // 64))
+    bits = np.zeros(64 * words * (1 + OTHER_BITS), dtype=bool)
+    bits[at_c] = True
+    rest = np.delete(other, at_o)
+    slots = np.unique(rest % np.uint64(64 * words * OTHER_BITS)).astype(np.int64)
+    bits[64 * words + slots] = True
+    return np.packbits(bits).view(np.int64), len(rest) - len(slots)
 
 
 def sketches(rows: DataFrame) -> DataFrame:
@@ -166,8 +188,9 @@ def sketches(rows: DataFrame) -> DataFrame:
     return stored(rows.mapInArrow(run, f"uid bigint, doc_id {kind}, file string, row bigint, digest binary, n bigint, keys array<bigint>"), "sketches")
 
 
-def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float) -> DataFrame:
-    """(u, v, jaccard, aligned) of stored pairs (u, v) of nodes, stored."""
+def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float, outlines: bool = False) -> DataFrame:
+    """(u, v, aligned, outline, spare) of stored pairs (u, v) of nodes, stored; the
+    outline is that of v seen from u, if asked for."""
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -185,19 +208,30 @@ def verified(pairs: DataFrame, rows: DataFrame, where: DataFrame, least: float)
             return held[uid]
 
         for batch in batches:
-            got = {"u": [], "v": [], "jaccard": [], "aligned": []}
+            aligned, lines, spare = [], [], []
             a_texts, b_texts = batch.column(2).cast(pa.large_binary()), batch.column(3).cast(pa.large_binary())
             for i, (u, v) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-                j, s = similarity(parsed(u, a_texts[i]), parsed(v, b_texts[i]), least)
-                for k, x in zip(got, (u, v, j, s)):
-                    got[k].append(x)
-            yield pa.RecordBatch.from_pydict(got, pa.schema([("u", pa.int64()), ("v", pa.int64()), ("jaccard", pa.float64()), ("aligned", pa.float64())]))
+                a, b = parsed(u, a_texts[i]), parsed(v, b_texts[i])
+                shared = shared_positions(a, b)
+                aligned.append(similarity(a, b, least, shared))
+                words, without = outline(a, b, shared) if outlines else (None, None)
+                lines.append(words)
+                spare.append(without)
+            arrays = [batch.column(0), batch.column(1), pa.array(aligned, pa.float64()), pa.array(lines, pa.list_(pa.int64())), pa.array(spare, pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["u", "v", "aligned", "outline", "spare"])
 
     nodes = pairs.select(F.col("u").alias("uid")).unionByName(pairs.select(F.col("v").alias("uid"))).distinct()
     wanted = where.select("uid", "file", "row").join(nodes, "uid", "left_semi")
     texts = stored(rows.select("file", "row", "text").join(wanted, ["file", "row"]).select("uid", "text"), "candidate-texts")
     both = pairs.join(texts.select(F.col("uid").alias("u"), F.col("text").alias("a")), "u").join(texts.select(F.col("uid").alias("v"), F.col("text").alias("b")), "v")
-    return stored(ship(both.select("u", "v", "a", "b")).mapInArrow(run, "u bigint, v bigint, jaccard double, aligned double"), "verified-pairs")
+    kinds = "u bigint, v bigint, aligned double, outline array<bigint>, spare bigint"
+    return stored(ship(both.select("u", "v", "a", "b")).mapInArrow(run, kinds), "verified-pairs")
+
+
+def may_link(least: float):
+    """Whether two members (columns, and those with a 2) can share enough shingles."""
+    common = F.aggregate(F.zip_with("outline", "outline2", lambda x, y: F.bit_count(x.bitwiseAND(y))), F.lit(0), lambda total, x: total + x)
+    return common + F.least("spare", "spare2") >= least / (1 + least) * (F.col("n") + F.col("n2")) - 1e-9
 
 
 def near_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -210,40 +244,30 @@ def near_groups(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     shared = stored(members.join(sizes, "key"), "near-shared")  # members of buckets that hold several
     weight = shared.groupBy("uid").agg(F.sum("size").alias("w"))
-    open_ = stored(shared.join(weight, "uid").select("key", "uid", "n", "w", F.lit(None).cast("double").alias("jaccard")), "near-open")
-
-    no_links = marked.select(F.col("uid").alias("u"), F.col("uid").alias("v")).limit(0)
-    done, joined = no_links.withColumn("jaccard", F.lit(0.0)).withColumn("aligned", F.lit(0.0)), None
-    for turn in range(CENTRES + 1):
-        rows_ = open_ if joined is None else open_.join(joined, F.col("uid") == F.col("node"), "left").drop("node")
-        rows_ = rows_.withColumn("c", F.col("uid") if joined is None else F.coalesce("component", "uid")).select("key", "uid", "n", "w", "jaccard", "c")
-        apart = rows_.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.max(F.struct("w", (-F.col("uid")).alias("minus"), "n", "c")).alias("m")).filter("c0 <> c1")
-        apart = apart.select("key", (-F.col("m.minus")).alias("u"), F.col("m.n").alias("u_n"), F.col("m.c").alias("u_c"))
-        rows_ = stored(rows_.join(apart, "key"), "near-open")
-        if turn < CENTRES:  # everyone with the centre of the bucket
-            pairs = rows_.filter(F.col("uid") != F.col("u")).filter(F.col("c") != F.col("u_c"))
-            pairs = pairs.select(F.col("u"), F.col("uid").alias("v"), F.col("n").alias("a_n"), F.col("u_n").alias("b_n"))
-        else:  # the rest with one another
-            other = rows_.select("key", *[F.col(c).alias(f"{c}2") for c in ("uid", "n", "jaccard", "c")])
-            may = F.abs(F.col("jaccard") - F.col("jaccard2")) <= 1 - least + 1e-9
-            pairs = rows_.join(other, "key").filter((F.col("uid") < F.col("uid2")) & (F.col("c") != F.col("c2")) & F.coalesce(may, F.lit(True)))
-            pairs = pairs.select(F.col("uid").alias("u"), F.col("uid2").alias("v"), F.col("n").alias("a_n"), F.col("n2").alias("b_n"))
-        alike = F.least("a_n", "b_n") >= least * F.greatest("a_n", "b_n")  # else no link is possible
-        pairs = pairs.filter(alike).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        pairs = stored(pairs.join(done.select("u", "v"), ["u", "v"], "left_anti"), "near-pairs")
-        if not pairs.isEmpty():
-            found = verified(pairs, rows, marked, least)
-            done = done.unionByName(found)
-            links = found.filter("aligned > 0").select("u", "v")
-            if joined is not None:  # what is joined already is a star: one link a node
-                links = links.unionByName(joined.select(F.col("node").alias("u"), F.col("component").alias("v")))
-            joined = stored(components(links), "near-components")
-        # a centre has met all of its bucket; the others keep their distance to the first one
-        first = done.select("u", "v", F.col("jaccard").alias("j"))
-        near = rows_.filter(F.col("uid") != F.col("u")).withColumn("lo", F.least("uid", "u")).withColumn("hi", F.greatest("uid", "u"))
-        near = near.drop("u").join(first.withColumnRenamed("u", "lo").withColumnRenamed("v", "hi"), ["lo", "hi"], "left")
-        open_ = near.select("key", "uid", "n", "w", F.col("j").alias("jaccard"))
-    joined = joined if joined is not None else marked.select(F.col("uid").alias("node"), F.col("uid").alias("component")).limit(0)
+    weighed = stored(shared.join(weight, "uid").select("key", "uid", "n", "w"), "near-weighed")
+
+    # everyone with the centre of the bucket
+    centres = weighed.groupBy("key").agg(F.max(F.struct("w", (-F.col("uid")).alias("minus"))).alias("m")).select("key", (-F.col("m.minus")).alias("u"))
+    rest = stored(weighed.join(centres, "key").filter("uid <> u").select("key", "uid", "n", "u"), "near-rest")
+    met = verified(stored(rest.select("u", F.col("uid").alias("v")).distinct(), "near-pairs"), rows, marked, least, outlines=True)
+    links = met.filter("aligned > 0").select("u", "v")
+    joined = stored(components(links), "near-components")
+
+    # the rest with one another, where a bucket has several components
+    placed = rest.join(joined, F.col("uid") == F.col("node"), "left").select("key", "uid", "n", "u", F.coalesce("component", "uid").alias("c"))
+    apart = placed.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).filter("c0 <> c1").select("key")
+    seen = met.select("u", F.col("v").alias("uid"), "outline", "spare")
+    placed = stored(placed.join(apart, "key").join(seen, ["u", "uid"]).drop("u"), "near-open")
+    other = placed.select("key", *[F.col(c).alias(f"{c}2") for c in ("uid", "n", "c", "outline", "spare")])
+    apart = (F.col("uid") < F.col("uid2")) & (F.col("c") != F.col("c2"))
+    pairs = placed.join(other, "key").filter(apart & (F.least("n", "n2") >= least * F.greatest("n", "n2")) & may_link(least))
+    pairs = pairs.select(F.col("uid").alias("u"), F.col("uid2").alias("v")).distinct()
+    before = met.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    pairs = stored(pairs.join(before, ["u", "v"], "left_anti"), "near-pairs")
+    if not pairs.isEmpty():
+        links = verified(pairs, rows, marked, least).filter("aligned > 0").select("u", "v")
+        # what is joined already is a star: one link a node
+        joined = stored(components(links.unionByName(joined.select(F.col("node").alias("u"), F.col("component").alias("v")))), "near-components")
 
     placed = marked.select("file", "row", "doc_id", "uid", "digest").join(nodes, "digest").join(joined.withColumnRenamed("node", "n_"), F.col("node") == F.col("n_"), "left")
     placed = placed.select("file", "row", "doc_id", "uid", F.coalesce("component", "node").alias("component"))
