@@ -448,6 +448,23 @@ def test_chat_round_trip(spark):
     assert expand(lone).count() == 2 and digests(expand(df.limit(0))).count() == 0
 
 
+def test_chat_rows_without_conv_id(spark, monkeypatch):
+    from vigilo.llm import chat
+
+    monkeypatch.setattr(chat, "COPIES", 2, raising=False)
+    rows = [(None, 0, "user", "a"), (None, 0, "user", "b"), (None, None, None, None), (None, 3, "assistant", "a"), (1, 0, "user", "a")] + [(None, 1, "assistant", "same")] * 5
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    want = sorted(
+        (c is not None, 1, hashlib.sha256(f"{role or ''}\n{text or ''}\n".encode()).hexdigest(), len(text or "") if role == "assistant" else 0)
+        for c, _, role, text in rows
+    )
+    examples = chat.expand(df)
+    got = sorted((x.conv_id is not None, x.n_turns, x.turns_sha256, x.loss_chars) for x in chat.digests(examples).collect())
+    assert got == want
+    names = lambda e: sorted((x.conv_id or 0, x.lone or "") for x in e.collect())
+    assert len(set(names(examples))) == len(rows) and names(examples) == names(chat.expand(df.repartition(5)))
+
+
 # ------------------------------------------------- registered queries, SQL
 
 
