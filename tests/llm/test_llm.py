@@ -398,6 +398,25 @@ def test_toxicity_learns_and_keeps_clean(spark, docs, empty):
     assert toxicity(docs, labels.limit(0)).agg(F.max("score")).first()[0] == pytest.approx(0.1)
 
 
+@pytest.mark.parametrize("share", [0.3, 0.5, 0.8])
+def test_toxicity_learns_at_any_base_rate(spark, share):
+    from vigilo.llm.toxicity import drop_toxic, toxicity
+
+    r = random.Random(8)
+    rows, marks = [], []
+    for i in range(600):
+        words = [f"w{r.randint(0, 200)}" for _ in range(30)]
+        bad = i % 10 < 10 * share
+        if bad:
+            words[r.randrange(30)] = r.choice(["Vile,", "rotten"])
+        rows.append((i, " ".join(words), "en", "s", 1, "f", 1))
+        marks.append((i, int(bad)))
+    table = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    assert {x.doc_id: x.predicted for x in toxicity(table, labels).collect()} == dict(marks)
+    assert {x.doc_id for x in drop_toxic(table, labels).collect()} == {i for i, bad in marks if not bad}
+
+
 # --------------------------------------------------------------- licenses
 
 

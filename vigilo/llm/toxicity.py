@@ -4,9 +4,11 @@ inverted index.
 1.  Examples.  At most ``EXAMPLES`` labelled rows of the training fold (the
     smallest hashes of their ids): the bounded sample the model is fitted on.
 2.  Terms.  Of the examples' words, the ``TERMS`` at most that go with the
-    toxic label most clearly: in ``MIN_DOCS`` examples or more, with a toxic share
-    ``LIFT`` times that of all examples and chi-square over ``CHI2``.  (Words of
-    a language in which toxic examples are somewhat more frequent do not lift.)
+    toxic label most clearly: in ``MIN_DOCS`` examples or more, with odds of toxic
+    against clean ``ODDS`` times those of all examples and chi-square over
+    ``CHI2``.  Odds have no upper end, so this can be met at any share of toxic
+    examples.  (Words of a language in which toxic examples are somewhat more
+    frequent do not reach it.)
 3.  Vectors.  Every document's counts of those terms, from its whole text; the
     terms' document frequencies are counted over all documents.  Weight is
     (1 + ln tf) * idf, vectors have length 1.
@@ -43,7 +45,7 @@ EXAMPLES = 20_000
 TERMS = 4_000
 MIN_DOCS = 5
 CHI2 = 10.83
-LIFT = 4.0
+ODDS = 4.0
 BLOCK = 64
 NEIGHBOURS = 25
 EVIDENCE = 5
@@ -96,8 +98,8 @@ def term_table(texts: DataFrame, terms: int = TERMS) -> list[str]:
     gap = a * (q - b) - b * (p - a)
     chi2 = (p + q) * gap * gap / ((a + b) * (p + q - a - b) * p * q)
     found = counts.filter((F.col("term") != "") & (F.col("a") + F.col("b") >= MIN_DOCS) & (F.col("a") + F.col("b") < p + q))
-    lift = (a / (a + b)) / (p / (p + q))
-    found = found.withColumn("chi2", chi2).filter((F.col("chi2") >= CHI2) & (lift >= LIFT)).orderBy(F.col("chi2").desc(), "term").limit(terms)
+    odds = a * q >= ODDS * b * p
+    found = found.withColumn("chi2", chi2).filter((F.col("chi2") >= CHI2) & odds).orderBy(F.col("chi2").desc(), "term").limit(terms)
     return [r["term"] for r in found.select("term").collect()]
 
 
