@@ -147,6 +147,35 @@ def test_alignment_needs_order():
     assert N.longest_chain([3, 1, 2, 9, 4, 5]) == 4
 
 
+def test_short_texts_with_one_word_more_share_a_key():
+    from vigilo.llm import near_dedup as N
+
+    r = random.Random(11)
+    pairs = linked = 0
+    for n in range(8, 31):
+        for _ in range(40):
+            words = [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+            more = ["added", *words] if r.random() < 0.5 else [*words, "added"]
+            a, b = (N.shingles_of(" ".join(w).encode()) for w in (words, more))
+            assert N.similarity(a, b) >= 0.8
+            pairs += 1
+            linked += bool(set(N.keys_of(a).tolist()) & set(N.keys_of(b).tolist()))
+            assert len(set(N.keys_of(b).tolist())) == len(N.keys_of(b))
+    assert linked == pairs
+
+
+def test_short_pairs_are_grouped(spark):
+    from vigilo.llm.near_dedup import near_groups
+
+    r = random.Random(12)
+    rows = []
+    for i in range(60):
+        words = [f"w{r.randint(0, 10**6)}" for _ in range(8)]
+        rows += [(2 * i, " ".join(words), "en", "s", 1, "f", 1), (2 * i + 1, " ".join([*words, "added"]), "en", "s", 1, "f", 1)]
+    got = {x.doc_id: (x.class_id, x.class_size) for x in near_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: (i - i % 2, 2) for i in range(120)}
+
+
 def test_outlines_bound_what_is_shared():
     from vigilo.llm import near_dedup as N
 

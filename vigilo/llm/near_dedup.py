@@ -9,7 +9,10 @@ number (the n-th time it occurs), so labelled shingles of a text are distinct.
     probability about J**12 if the shared shingles keep their order: at
     similarity 0.8, 80 functions miss a pair with probability 0.004, while texts
     that share half their shingles (a long common passage) seldom meet.  Short
-    texts take fewer samples, as there one changed shingle weighs more.
+    texts take fewer samples, as there one changed shingle weighs more.  A key
+    does not tell which function took the sample: a text of no more shingles than
+    are sampled has one key, which a text with one shingle more shares as soon as
+    any function leaves that shingle out.
 *   Verification.  Positions of shared labelled shingles are matched inside a
     band as wide as a pair of the required similarity can need, and the longest
     chain that keeps their order is the alignment (labels are distinct, so it
@@ -59,14 +62,14 @@ _CHUNK = 4096
 
 
 def order_sketch(shingles, sampled: int, sketches: int, salt: int):
-    """uint64 keys of the ordered samples of labelled shingles."""
+    """Distinct uint64 keys of the ordered samples of labelled shingles."""
     import numpy as np
 
     from vigilo.llm.words import mixed
 
     n = len(shingles)
     if n <= sampled:  # every function samples all of them
-        sketches, rows = 1, shingles[None, :]
+        rows = shingles[None, :]
     else:
         seeds = mixed(np.arange(1, sketches + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt))
         odd = mixed(seeds) | np.uint64(1)
@@ -85,10 +88,10 @@ def order_sketch(shingles, sampled: int, sketches: int, salt: int):
                 hashes, at = np.take_along_axis(hashes, best, axis=1), np.take_along_axis(at, best, axis=1)
             lowest, order = hashes, at
         rows = shingles[np.sort(order, axis=1)]
-    key = np.arange(1, sketches + 1, dtype=np.uint64) + np.uint64(1000 * sampled + salt)
+    key = np.full(len(rows), 1000 * sampled + salt, dtype=np.uint64)
     for i in range(rows.shape[1]):
         key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + rows[:, i])
-    return key
+    return np.unique(key)
 
 
 def shingles_of(text: bytes | None):
