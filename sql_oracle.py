@@ -389,6 +389,61 @@ _EVENT_FLAGS = {"flag_error": "error", "flag_purchase": "purchase", "flag_signup
 DASHED = "'-' || c_name || '-' || CAST(c_nationkey AS VARCHAR)"
 
 
+_EVENTS = (
+    "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, CAST(user_id AS VARCHAR) AS user_id, event_type, "
+    "CAST(CAST(value AS DECIMAL(18,4)) AS VARCHAR) AS value, props FROM events"
+)
+PROFILE_KEY = canon(f"concat_ws('|', {unk('sex')}, {unk('age_cod')}, {unk('reporter_country')}, {unk('occr_country')})")
+
+#: Landing files of the eight bronze tables: (table, CTEs, source, file, contract columns).
+BRONZE_FILES = [
+    ("aact_studies", "studies", "AACT", "studies.txt", "nct_id overall_status phase study_type enrollment start_date completion_date last_update_posted_date"),
+    ("aact_interventions", "interventions", "AACT", "interventions.txt", "nct_id intervention_type name"),
+    ("aact_conditions", "conditions", "AACT", "conditions.txt", "nct_id name"),
+    ("faers_demo", "demo", "FAERS", "DEMO24Q1.txt", "primaryid caseid caseversion sex age age_cod event_dt occr_country reporter_country"),
+    ("faers_drug", "drug", "FAERS", "DRUG24Q1.txt", "primaryid caseid drug_seq role_cod drugname prod_ai route"),
+    ("faers_reac", "reac", "FAERS", "REAC24Q1.txt", "primaryid caseid pt"),
+    ("faers_outc", "outc", "FAERS", "OUTC24Q1.txt", "primaryid caseid outc_cod"),
+    ("faers_indi", "indi", "FAERS", "INDI24Q1.txt", "primaryid caseid indi_drug_seq indi_pt"),
+]
+
+
+def _bronze_count(table: str, cte: str, source: str, file: str, columns: str) -> str:
+    return (
+        f"SELECT '{table}' AS table_name, count(*) AS rows, count(DISTINCT row({', '.join(columns.split())})) AS distinct_rows, "
+        f"'{source}' AS source_system, '{file}' AS file_name, count(*) AS with_provenance FROM bronze_{cte}"
+    )
+
+
+def _log_rows(table: str, cte: str, *_) -> str:
+    """Loaded file, silver build, and the source skipped by the second run."""
+    n, m = f"(SELECT count(*) FROM bronze_{cte})", f"(SELECT count(*) FROM silver_{cte})"
+    return (
+        f"SELECT 'BRONZE' AS layer, '{table}' AS entity, 'SUCCESS' AS status, {n} AS rows_read, {n} AS rows_written, CAST(0 AS BIGINT) AS rows_rejected "
+        f"UNION ALL SELECT 'SILVER', '{table}', 'SUCCESS', {n}, {m}, 0 UNION ALL SELECT 'BRONZE', '{table}', 'SKIPPED', 0, 0, 0"
+    )
+
+
+def _dq_report() -> str:
+    def check(table: str, cte: str, name: str, broken: str) -> str:
+        return (
+            f"SELECT '{table}' AS table_name, '{name}' AS check_name, count(*) AS rows_checked, count(*) FILTER ({broken}) AS rows_broken, "
+            f"count(*) FILTER ({broken}) = 0 AS passed FROM silver_{cte}"
+        )
+
+    keys = "primaryid IS NULL OR caseid IS NULL"
+    parts = [check(t, cte, "not_empty", "false") for t, cte, *_ in BRONZE_FILES]
+    parts += [check(f"faers_{c}", c, "report_key", keys) for c in ("demo", "drug", "reac", "outc", "indi")]
+    parts += [
+        check("aact_studies", "studies", "enrollment_range", "enrollment < 0"),
+        check("aact_studies", "studies", "dates_in_order", "start_date > completion_date"),
+        check("faers_demo", "demo", "event_dated", "event_dt IS NULL"),
+        check("aact_studies_strict", "studies", "completed", "completion_date IS NULL OR enrollment IS NULL OR enrollment % 2 <> 0"),
+        check("aact_studies_strict", "studies", "old_rows_kept", "false"),
+    ]
+    return " UNION ALL ".join(parts)
+
+
 def statements() -> dict[str, str]:
     ev_flags = ", ".join(f"max(CASE WHEN event_type = '{v}' THEN 1 ELSE 0 END) AS {k}" for k, v in _EVENT_FLAGS.items())
     lineitem_cols = (
@@ -542,16 +597,49 @@ def statements() -> dict[str, str]:
             "CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'BUILDING') THEN CAST(c_nationkey AS VARCHAR) END AS c_nationkey, "
             "c_mktsegment FROM customer"
         ),
-        "incremental_files": (
-            "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
-            "CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events"
+        "multiline_snapshot": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, nullif(text, '') AS text, source FROM documents",
+        "rejected_rows": (
+            "SELECT event_id, event_type, user_id, rejected_record, count(*) AS in_batch, count(*) AS in_stream FROM ("
+            "SELECT CASE WHEN good THEN id END AS event_id, CASE WHEN good THEN event_type END AS event_type, CASE WHEN good THEN usr END AS user_id, "
+            "CASE event_type WHEN 'error' THEN concat_ws('$', id, event_type, usr, 'extra') WHEN 'signup' THEN concat_ws('$', id, event_type) END AS rejected_record "
+            "FROM (SELECT CAST(event_id AS VARCHAR) AS id, event_type, CAST(user_id AS VARCHAR) AS usr, event_type NOT IN ('error', 'signup') AS good FROM events)"
+            ") GROUP BY ALL"
+        ),
+        "incremental_files": _EVENTS,
+        "incremental_stream": _EVENTS,
+        "incremental_stream_csv": _EVENTS,
+        # ---- the layered build from files
+        "bronze_tables": _q(" UNION ALL ".join(_bronze_count(*t) for t in BRONZE_FILES)),
+        "run_log_rows": _q(" UNION ALL ".join(_log_rows(*t) for t in BRONZE_FILES)),
+        "dq_report": _q(_dq_report()),
+        # ---- facts against dimensions that lack members
+        "report_fact_lookup": _q(
+            f"SELECT r.caseid, r.primaryid, {sk('d.drug_key')} AS drug_sk, {sk('x.reaction_key')} AS reaction_sk, i.condition_sk, r.patient_sk, "
+            "r.event_dt, r.date_key, r.outc_death, r.outc_hosp, r.outc_disability, r.outc_life_threat, r.outc_other_serious, "
+            "r.outc_any_serious, 1 AS event_count FROM report r "
+            f"JOIN (SELECT DISTINCT {sk(PROFILE_KEY)} AS patient_sk FROM silver_demo WHERE sex IS NOT NULL) p ON p.patient_sk = r.patient_sk "
+            "JOIN report_drugs d ON d.caseid = r.caseid AND d.primaryid = r.primaryid AND d.drug_key IN (SELECT drug_key FROM trial_drugs) "
+            "JOIN report_reactions x ON x.caseid = r.caseid AND x.primaryid = r.primaryid "
+            f"AND x.reaction_key IN (SELECT {canon('pt')} FROM silver_reac WHERE pt < 'M') "
+            f"LEFT JOIN (SELECT caseid, primaryid, min({sk('condition_key')}) AS condition_sk FROM ("
+            f"SELECT {bigint('caseid')} AS caseid, {bigint('primaryid')} AS primaryid, {canon('indi_pt')} AS condition_key FROM silver_indi) "
+            "WHERE condition_key IN (SELECT condition_key FROM trial_conditions) GROUP BY 1, 2) i ON i.caseid = r.caseid AND i.primaryid = r.primaryid"
         ),
-        "incremental_stream": (
-            "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
-            "CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events"
+        "trial_fact_lookup": _q(
+            "SELECT f.* FROM fact_trial_drug_condition f JOIN dim_study s ON s.study_sk = f.study_sk WHERE s.overall_status = 'F'"
         ),
-        "incremental_stream_csv": (
-            "SELECT CAST(event_id AS VARCHAR) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, "
-            "CAST(user_id AS VARCHAR) AS user_id, event_type, props FROM events"
+        "unresolved_keys": _q(
+            "SELECT fact, dimension, key, count(*) AS rows FROM ("
+            f"SELECT 'report' AS fact, 'patient' AS dimension, {PROFILE_KEY} AS key FROM silver_demo "
+            f"UNION ALL SELECT 'report', 'drug', {canon('drugname')} FROM silver_drug "
+            f"UNION ALL SELECT 'report', 'reaction', {canon('pt')} FROM silver_reac "
+            f"UNION ALL SELECT 'report', 'condition', {canon('indi_pt')} FROM silver_indi "
+            "UNION ALL SELECT 'trial', 'study', trim(nct_id) FROM silver_studies) k "
+            f"WHERE {nonblank('key')} AND NOT EXISTS (SELECT 1 FROM ("
+            f"SELECT 'patient' AS dimension, {PROFILE_KEY} AS key FROM silver_demo WHERE sex IS NOT NULL "
+            "UNION SELECT 'drug', drug_key FROM trial_drugs UNION SELECT 'condition', condition_key FROM trial_conditions "
+            f"UNION SELECT 'reaction', {canon('pt')} FROM silver_reac WHERE pt < 'M' "
+            "UNION SELECT 'study', nct_id FROM silver_studies WHERE overall_status = 'F') m WHERE m.dimension = k.dimension AND m.key = k.key) "
+            "GROUP BY 1, 2, 3"
         ),
     }

@@ -75,7 +75,10 @@ def test_pipeline_end_to_end_and_idempotent(spark, landing):
 
     log = spark.table(store.name("audit", "etl_run_log"))
     loads = log.filter((F.col("layer") == "BRONZE") & (F.col("entity") == "faers_drug") & (F.col("status") == "SUCCESS"))
-    assert sorted(r.message for r in loads.collect()) == ["1 new files: DRUG24Q1.txt", "1 new files: DRUG24Q2.txt"]
+    assert sorted((r.message, r.rows_read, r.rows_written) for r in loads.collect()) == [("DRUG24Q1.txt", 3, 3), ("DRUG24Q2.txt", 1, 1)]
+    drugs = log.filter((F.col("layer") == "SILVER") & (F.col("entity") == "faers_drug")).collect()
+    assert sorted((r.rows_read, r.rows_written) for r in drugs) == [(3, 2), (3, 2), (4, 3), (4, 3)]
+    assert store.read("bronze", "faers_drug_rejects").count() == 0
     statuses = {r.status for r in log.collect()}
     assert statuses == {"SUCCESS", "SKIPPED"}
     assert log.filter((F.col("layer") == "GOLD") & (F.col("entity") == "fact_faers_event")).count() == 4

@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 
 from vigilo.sources import CONTRACTS, contract, enforce_contract, list_files, read_delimited, select_exact, select_keyword
 from vigilo.sources.contracts import INCREMENTAL, SNAPSHOT, Contract
-from vigilo.sources.ingest import incremental_frame, new_files, snapshot_frame
+from vigilo.sources.csv import header_signatures, read_records
+from vigilo.sources.ingest import contract_files, load_files, snapshot_frame, target
 from vigilo.streaming import ingest_available
 
 from conftest import write_text
@@ -76,41 +77,137 @@ def test_snapshot_reads_contract_and_provenance(spark, tmp_path):
 REAC = Contract("reac", "FAERS", "$", INCREMENTAL, ("primaryid", "caseid", "pt"), keyword="reac")
 
 
-def _batch_load(spark, raw, target):
-    try:
-        loaded = spark.read.parquet(target)
-    except Exception:
-        loaded = None
-    paths = new_files(spark, REAC, raw, loaded)
-    if paths:
-        incremental_frame(spark, REAC, paths).write.mode("append").parquet(target)
-    return len(paths)
+def _load(spark, raw, root):
+    """Files loaded by one run, and the table."""
+    table = target(spark, REAC, root)
+    done = load_files(spark, REAC, raw, table)
+    return (done.files.count() if done.files else 0), table
+
+
+def _rows(table, *columns):
+    return sorted(tuple(r) for r in table.rows().select(*columns).collect())
 
 
 def test_incremental_batch_is_idempotent(spark, tmp_path):
-    raw, target = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "bronze")
     write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A\n2$2$B\n")
-    assert _batch_load(spark, raw, target) == 1
-    assert _batch_load(spark, raw, target) == 0
-    assert spark.read.parquet(target).count() == 2
+    assert _load(spark, raw, root)[0] == 1
+    assert _load(spark, raw, root)[0] == 0
     write_text(tmp_path / "raw" / "reac24q2.txt", "pt$caseid$primaryid\nC$3$3\n")
-    assert _batch_load(spark, raw, target) == 1
-    got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(target).collect())
-    assert got == [("1", "A"), ("2", "B"), ("3", "C")]
+    n, table = _load(spark, raw, root)
+    assert n == 1 and _rows(table, "primaryid", "pt") == [("1", "A"), ("2", "B"), ("3", "C")]
+
+
+def test_unchanged_run_asks_the_ledger_only(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A\n")
+    _, table = _load(spark, raw, root)
+    read = table.unseen(contract_files(spark, REAC, raw)).inputFiles()
+    assert any("/ledger/" in f for f in read) and not any("/bronze/data" in f for f in read)
+
+
+def test_files_without_rows_are_settled_and_replaced_files_found(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    write_text(tmp_path / "raw" / "REAC_HEADER.txt", "primaryid$caseid$pt\n")
+    write_text(tmp_path / "raw" / "REAC_EMPTY.txt", "")
+    write_text(tmp_path / "raw" / "REAC_FULL.txt", "primaryid$caseid$pt\n1$1$A\n2$2$B\n")
+    assert _load(spark, raw, root)[0] == 2  # a file of no bytes is not listed
+    assert _load(spark, raw, root)[0] == 0
+    write_text(tmp_path / "raw" / "REAC_FULL.txt", "primaryid$caseid$pt\n1$1$A\n2$2$BB\n9$9$Z\n")
+    write_text(tmp_path / "raw" / "REAC_HEADER.txt", "primaryid$caseid$pt\n7$7$G\n")
+    n, table = _load(spark, raw, root)
+    assert n == 2 and _rows(table, "primaryid", "pt") == [("1", "A"), ("2", "BB"), ("7", "G"), ("9", "Z")]
+    assert _load(spark, raw, root)[0] == 0
+
+
+def test_a_load_that_died_half_way_is_not_seen_and_is_done_again(spark, tmp_path):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "bronze")
+    write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A\n2$2$B\n")
+    table = target(spark, REAC, root)
+    log, calls = table._log, []
+
+    def dies(rows):  # the second entry of a batch says that it is loaded
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        log(rows)
+
+    table._log = dies
+    try:
+        load_files(spark, REAC, raw, table)
+    except RuntimeError:
+        pass
+    assert table.rows().count() == 0
+    n, table = _load(spark, raw, root)
+    assert n == 1 and _rows(table, "primaryid", "pt") == [("1", "A"), ("2", "B")]
+    assert len(list((tmp_path / "bronze" / "data").glob("batch_id=*"))) == 1  # the rest of the first attempt was replaced
+
+
+def test_batch_sent_twice_counts_once(spark, tmp_path):
+    from vigilo.sources.ingest import records
+
+    write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A\n")
+    table = target(spark, REAC, str(tmp_path / "bronze"))
+    files = contract_files(spark, REAC, str(tmp_path / "raw"))
+    for _ in range(2):
+        table.load(files, lambda paths: records(spark, REAC, paths), batch_id="q1")
+    assert table.rows().count() == 1
+
+
+def test_malformed_records_are_kept_apart(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A$extra\n2$2\n3$3$C\n4$4$\n")
+    write_text(tmp_path / "raw" / "REAC24Q2.txt", "pt$primaryid$caseid\nD$5$5\nE$6\n")
+    n, table = _load(spark, raw, str(tmp_path / "bronze"))
+    assert n == 2 and _rows(table, "primaryid", "pt") == [("3", "C"), ("4", None), ("5", "D")]
+    assert sorted(r.rejected_record for r in table.rejects().collect()) == ["1$1$A$extra", "2$2", "E$6"]
+    counts = {r.path.rsplit("/", 1)[-1]: (r.rows_accepted, r.rows_rejected) for r in table.entries().collect()}
+    assert counts == {"REAC24Q1.txt": (2, 2), "REAC24Q2.txt": (1, 1)}
+    text = read_records(spark, [str(tmp_path / "raw" / "REAC24Q1.txt")], "$", ["pt"]).select("rejected_record").distinct()
+    assert text.count() == 3  # two rejected texts and NULL, from a scan of that column alone
+
+
+def test_headers_take_no_job_and_files_of_a_layout_are_read_together(spark, tmp_path):
+    def paths(n, name):
+        return [write_text(tmp_path / name / f"reac{i}.txt", ("primaryid$caseid$pt\n" if i % 2 else 'pt$primaryid$"case\nid"\n') + "1$1$1\n") for i in range(n)]
+
+    few, many = paths(3, "few"), paths(40, "many")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        assert [len(f) for _, f in header_signatures(spark, few, "$")] == [1, 2]
+        assert [(h[-1], len(f)) for h, f in header_signatures(spark, many, "$")] == [("pt", 20), ("case\nid", 20)]
+        assert len(tracker.getJobIdsForGroup("headers")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_incremental_stream_is_idempotent(spark, tmp_path):
-    raw, target, cp = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "cp")
+    raw, table, cp = str(tmp_path / "raw"), target(spark, REAC, str(tmp_path / "bronze")), str(tmp_path / "cp")
     write_text(tmp_path / "raw" / "REAC24Q1.txt", "primaryid$caseid$pt\n1$1$A\n2$2$B\n")
-    ingest_available(spark, REAC, raw, target, cp)
-    ingest_available(spark, REAC, raw, target, cp)
-    assert spark.read.parquet(target).count() == 2
-    write_text(tmp_path / "raw" / "reac24q2.txt", "primaryid$caseid$pt\n3$3$C\n")
-    ingest_available(spark, REAC, raw, target, cp)
-    # a fresh checkpoint replays every file; the anti join keeps the target exact
-    ingest_available(spark, REAC, raw, target, str(tmp_path / "cp2"))
-    got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(target).collect())
-    assert got == [("1", "A"), ("2", "B"), ("3", "C")]
+    ingest_available(spark, REAC, raw, table, cp)
+    ingest_available(spark, REAC, raw, table, cp)
+    assert table.rows().count() == 2
+    write_text(tmp_path / "raw" / "reac24q2.txt", "primaryid$caseid$pt\n3$3$C\n4$4\n")
+    ingest_available(spark, REAC, raw, table, cp)
+    # a fresh checkpoint offers every file again; the ledger keeps the table exact
+    ingest_available(spark, REAC, raw, table, str(tmp_path / "cp2"))
+    assert _rows(table, "primaryid", "pt") == [("1", "A"), ("2", "B"), ("3", "C")]
+    assert [r.rejected_record for r in table.rejects().collect()] == ["4$4"]
+    # the batch load agrees that nothing is new
+    assert load_files(spark, REAC, raw, table).batch_id is None
+
+
+def test_unchanged_snapshot_ignores_copies_in_subfolders(spark, tmp_path):
+    c = contract("aact_conditions")
+    write_text(tmp_path / "conditions.txt", "nct_id|name\nN1|x\n")
+    write_text(tmp_path / "archive" / "conditions.txt", "nct_id|name\nOLD|x\n")
+    table = target(spark, c, str(tmp_path / "bronze"))
+    assert load_files(spark, c, str(tmp_path), table).accepted == 1
+    assert load_files(spark, c, str(tmp_path), table).batch_id is None
+    write_text(tmp_path / "conditions.txt", "nct_id|name\nN1|x\nN2|y\n")
+    assert load_files(spark, c, str(tmp_path), table).accepted == 2
+    assert _rows(table, "nct_id") == [("N1",), ("N2",)]
 
 
 def test_snapshot_contract_needs_one_selector():
@@ -124,15 +221,16 @@ def test_snapshot_contract_needs_one_selector():
 def test_fixed_layout_stream_lands_each_file_once(spark, tmp_path):
     from vigilo.streaming import stream_fixed_layout
 
-    raw, target, cp = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "cp")
+    raw, sink, cp = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "cp")
     write_text(tmp_path / "raw" / "REAC24Q1.txt", 'primaryid$caseid$pt\n1$1$"a ""b"""\n2$2$B\n')
     write_text(tmp_path / "raw" / "demo24q1.txt", "primaryid$caseid$pt\n9$9$X\n")
-    stream_fixed_layout(spark, REAC, raw, target, cp)
-    stream_fixed_layout(spark, REAC, raw, target, cp)
-    write_text(tmp_path / "raw" / "reac24q2.txt", "primaryid$caseid$pt\n3$3$C\n")
-    stream_fixed_layout(spark, REAC, raw, target, cp)
-    got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(target).collect())
+    stream_fixed_layout(spark, REAC, raw, sink, cp)
+    stream_fixed_layout(spark, REAC, raw, sink, cp)
+    write_text(tmp_path / "raw" / "reac24q2.txt", "primaryid$caseid$pt\n3$3$C\n4$4\n")
+    stream_fixed_layout(spark, REAC, raw, sink, cp)
+    got = sorted((r.primaryid, r.pt) for r in spark.read.parquet(sink).filter("rejected = 0").collect())
     assert got == [("1", 'a "b"'), ("2", "B"), ("3", "C")]
+    assert [r.rejected_record for r in spark.read.parquet(sink).filter("rejected = 1").collect()] == ["4$4"]
 
 
 def test_header_names_are_normalised(spark, tmp_path):
@@ -143,17 +241,17 @@ def test_header_names_are_normalised(spark, tmp_path):
 
 def test_missing_landing_directory_lists_empty(spark, tmp_path):
     assert list_files(spark, str(tmp_path / "nope")).count() == 0
-    assert new_files(spark, REAC, str(tmp_path / "nope"), None) == []
+    assert contract_files(spark, REAC, str(tmp_path / "nope")).isEmpty()
 
 
 def test_file_names_with_spaces_are_seen_once(spark, tmp_path):
-    raw, target = str(tmp_path / "raw dir"), str(tmp_path / "bronze")
+    raw, root = str(tmp_path / "raw dir"), str(tmp_path / "bronze")
     write_text(tmp_path / "raw dir" / "REAC 24Q1 (final).txt", "primaryid$caseid$pt\n1$1$A\n")
     write_text(tmp_path / "raw dir" / "reac+100%.txt", "primaryid$caseid$pt\n2$2$B\n")
-    assert _batch_load(spark, raw, target) == 2
-    assert _batch_load(spark, raw, target) == 0
-    assert spark.read.parquet(target).count() == 2
-    names = sorted(r.ingest_file.rsplit("/", 1)[-1] for r in spark.read.parquet(target).collect())
+    assert _load(spark, raw, root)[0] == 2
+    n, table = _load(spark, raw, root)
+    assert n == 0 and table.rows().count() == 2
+    names = sorted(r.ingest_file.rsplit("/", 1)[-1] for r in table.rows().collect())
     assert names == ["REAC 24Q1 (final).txt", "reac+100%.txt"]
 
 
@@ -173,20 +271,12 @@ def test_trailing_separator_and_duplicate_names(spark, tmp_path):
 
 
 def test_stream_with_header_drift_and_escaped_names(spark, tmp_path):
-    raw, target, cp = str(tmp_path / "raw"), str(tmp_path / "bronze"), str(tmp_path / "cp")
+    raw, table, cp = str(tmp_path / "raw"), target(spark, REAC, str(tmp_path / "bronze")), str(tmp_path / "cp")
     write_text(tmp_path / "raw" / "REAC 24Q1.txt", "primaryid$caseid$pt\n1$1$A\n")
     write_text(tmp_path / "raw" / "reac 24Q2.txt", "pt$primaryid$caseid\nB$2$2\n")
-    ingest_available(spark, REAC, raw, target, cp)
-    ingest_available(spark, REAC, raw, target, str(tmp_path / "cp2"))  # replay from scratch: anti join holds
-    got = sorted((r.primaryid, r.caseid, r.pt) for r in spark.read.parquet(target).collect())
-    assert got == [("1", "1", "A"), ("2", "2", "B")]
-
-
-def test_zero_byte_files_are_not_offered(spark, tmp_path):
-    raw = str(tmp_path / "raw")
-    write_text(tmp_path / "raw" / "REAC_EMPTY.txt", "")
-    write_text(tmp_path / "raw" / "REAC_FULL.txt", "primaryid$caseid$pt\n1$1$A\n")
-    assert [p.rsplit("/", 1)[-1] for p in new_files(spark, REAC, raw, None)] == ["REAC_FULL.txt"]
+    ingest_available(spark, REAC, raw, table, cp)
+    ingest_available(spark, REAC, raw, table, str(tmp_path / "cp2"))  # offered from scratch: the ledger holds
+    assert _rows(table, "primaryid", "caseid", "pt") == [("1", "1", "A"), ("2", "2", "B")]
 
 
 def test_shipped_contract_reads_quoted_newlines_of_one_level(spark, raw_dir):

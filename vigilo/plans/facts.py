@@ -27,7 +27,8 @@ a dimension built from the same silver tables holds every key, so the
 "lookup, then drop unresolved" of a star load reduces to the latest-version
 join.  ``dims`` switches to explicit lookups against given dimensions
 (inner for drug, reaction and profile, left for condition), for facts loaded
-against dimensions built elsewhere.
+against dimensions built elsewhere; ``unresolved_keys`` tells which keys such
+dimensions lack and how many rows that costs.
 """
 
 from __future__ import annotations
@@ -255,3 +256,41 @@ def trial_fact(
     keys = salt.join_keys
     fact = salt.left(trial_drugs_).join(salt.both(studies), keys).join(salt.right(conditions), keys)
     return salt.unsalt(fact).select("study_sk", "drug_sk", "condition_sk", F.lit(1).alias("trial_mapping_count"))
+
+
+def unresolved_keys(
+    silver_demo: DataFrame,
+    silver_drug: DataFrame,
+    silver_reac: DataFrame,
+    silver_indi: DataFrame,
+    silver_interventions: DataFrame,
+    silver_conditions: DataFrame,
+    silver_studies: DataFrame,
+    dims: Mapping[str, DataFrame],
+) -> DataFrame:
+    """(fact, dimension, key, rows) of the natural keys without a member in
+    ``dims``: rows of the fact's input that a lookup drops (for a report's
+    condition: leaves without a condition_sk).  Keys are counted before they
+    are looked up, so a key with a third of all rows is combined map-side."""
+    demo = silver_demo.select(*profile_columns()).select(patient_key().alias("key"))
+    sources = [
+        ("report", "patient", "patient_key", demo),
+        ("report", "drug", "drug_key", silver_drug.select(canon("drugname").alias("key"))),
+        ("report", "reaction", "reaction_key", silver_reac.select(canon("pt").alias("key"))),
+        ("report", "condition", "condition_key", silver_indi.select(canon("indi_pt").alias("key"))),
+        ("trial", "drug", "drug_key", silver_interventions.select(canon("name").alias("key"))),
+        ("trial", "condition", "condition_key", silver_conditions.select(canon("name").alias("key"))),
+        ("trial", "study", "study_id", silver_studies.select(F.trim("nct_id").alias("key"))),
+    ]
+    found = []
+    for fact, name, key, rows in sources:
+        if name in dims:
+            counted = rows.filter(nonblank("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+            lacking = counted.join(dims[name].select(F.col(key).alias("key")), "key", "left_anti")
+            found.append(lacking.select(F.lit(fact).alias("fact"), F.lit(name).alias("dimension"), "key", "rows"))
+    if not found:
+        return silver_demo.sparkSession.createDataFrame([], "fact string, dimension string, key string, rows bigint")
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out

@@ -37,12 +37,25 @@ def dimension_tables(spark: SparkSession, s: Mapping[str, DataFrame]) -> dict[st
     return {name: build(spark, s) for name, build in DIMENSIONS.items()}
 
 
-def report_fact(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUTCOME_CODES, skew: SkewSpec = SkewSpec()) -> DataFrame:
-    return facts.report_fact(s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["faers_outc"], codes=codes, skew=skew)
+def report_fact(
+    s: Mapping[str, DataFrame],
+    codes: Mapping[str, str] = facts.OUTCOME_CODES,
+    skew: SkewSpec = SkewSpec(),
+    dims: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    return facts.report_fact(
+        s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["faers_outc"], codes=codes, skew=skew, dims=dims
+    )
 
 
-def trial_fact(s: Mapping[str, DataFrame], skew: SkewSpec = SkewSpec()) -> DataFrame:
-    return facts.trial_fact(s["aact_studies"], s["aact_interventions"], s["aact_conditions"], skew=skew)
+def trial_fact(s: Mapping[str, DataFrame], skew: SkewSpec = SkewSpec(), dims: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    return facts.trial_fact(s["aact_studies"], s["aact_interventions"], s["aact_conditions"], skew=skew, dims=dims)
+
+
+def unresolved_keys(s: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
+    return facts.unresolved_keys(
+        s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["aact_interventions"], s["aact_conditions"], s["aact_studies"], dims
+    )
 
 
 def report_summary(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUTCOME_CODES) -> DataFrame:

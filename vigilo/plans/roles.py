@@ -24,8 +24,12 @@ run on every row class.  The DuckDB oracle holds the same projection in SQL.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vigilo.plans import dims
+
 # Fixed values of this mapping: role codes kept, and outcome flag -> code.
 ROLES = ("A", "R")
 OUTCOME_CODES = {
@@ -203,3 +207,16 @@ BRONZE = {
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BRONZE.items()}
+
+
+def partial_dimensions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dimensions that lack members, as built elsewhere would be: drugs and
+    conditions known from trials alone, reactions up to 'M', profiles with a
+    known sex, finished studies."""
+    return {
+        "drug": dims.dim_drug(silver["faers_drug"].filter(F.lit(False)), silver["aact_interventions"]),
+        "condition": dims.dim_condition(silver["faers_indi"].filter(F.lit(False)), silver["aact_conditions"]),
+        "reaction": dims.dim_reaction(silver["faers_reac"].filter(F.col("pt") < "M")),
+        "patient": dims.dim_patient(silver["faers_demo"].filter(F.col("sex").isNotNull())),
+        "study": dims.dim_study(silver["aact_studies"].filter(F.col("overall_status") == "F")),
+    }

@@ -1,11 +1 @@
-"""Table writes, audit columns and the run log."""
-
-from vigilo.sinks.tables import (
-    RUN_LOG_SCHEMA,
-    RunLog,
-    TableStore,
-    add_table_audit_cols,
-    observed_write,
-)
-
-__all__ = ["RUN_LOG_SCHEMA", "RunLog", "TableStore", "add_table_audit_cols", "observed_write"]
+"""Table writes, batches with a file ledger, audit columns and the run log."""

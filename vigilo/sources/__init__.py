@@ -1,21 +1,19 @@
-"""Raw delimited-file ingestion: contracts, file selection, CSV reading."""
+"""Raw delimited-file ingestion: contracts, file selection, CSV reading, loads."""
 
 from vigilo.sources.contracts import CONTRACTS, Contract, contract
-from vigilo.sources.csv import enforce_contract, read_delimited, with_provenance
+from vigilo.sources.csv import enforce_contract, header_signatures, read_delimited, read_records, with_provenance
 from vigilo.sources.files import list_files, select_exact, select_keyword
-from vigilo.sources.ingest import incremental_frame, new_files, snapshot_frame
 
 __all__ = [
     "CONTRACTS",
     "Contract",
     "contract",
     "enforce_contract",
-    "incremental_frame",
+    "header_signatures",
     "list_files",
-    "new_files",
     "read_delimited",
+    "read_records",
     "select_exact",
     "select_keyword",
-    "snapshot_frame",
     "with_provenance",
 ]

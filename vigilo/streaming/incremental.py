@@ -1,24 +1,25 @@
 """File-incremental ingestion as a Structured Streaming query.
 
-The stream is the landing directory's file listing (``binaryFile`` with only
-``path`` selected, so file bodies are never read by the listing).  The file
-source's checkpoint remembers which paths were offered; ``foreachBatch``
-reads each micro-batch's new files through the same header-aware reader as
-the batch load and appends them.  ``foreachBatch`` is at-least-once (a batch
-may be replayed after a failure between the append and the commit), so each
-batch is first anti-joined with the ``ingest_file`` values already in the
-target: a replay appends nothing.  ``trigger(availableNow=True)`` drains
-what is there and stops, so the same code serves scheduled and continuous
-runs.
+The stream is the landing directory's file listing (``binaryFile`` without its
+content, so file bodies are never read by the listing).  The file source's
+checkpoint remembers which paths were offered; ``foreachBatch`` loads each
+micro-batch's files through the same reader and ledger as the batch load.
+``foreachBatch`` is at-least-once; a replayed micro-batch finds its files
+settled in the ledger and adds nothing, and what one left that died before it
+was complete is replaced.
+``trigger(availableNow=True)`` drains what is there and stops, so the same code
+serves scheduled and continuous runs.  The file source offers a path once: a
+file replaced under its name is found by the batch load, not by the stream.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from vigilo.sinks.batches import BatchTable
 from vigilo.sources.contracts import Contract
-from vigilo.sources.csv import INGEST_FILE, source_file_columns
-from vigilo.sources.ingest import incremental_frame, read_if_exists
+from vigilo.sources.csv import REJECTED, _options, source_file_columns
+from vigilo.sources.ingest import records
 
 
 # The binaryFile source's fixed schema (a stream must declare it).
@@ -36,9 +37,8 @@ def ingest_available(
     spark: SparkSession,
     c: Contract,
     raw_dir: str,
-    target_path: str,
+    table: BatchTable,
     checkpoint_location: str,
-    fmt: str = "parquet",
     max_files_per_trigger: int = 1000,
 ) -> None:
     selector = (F.lower(F.element_at(F.split("path", "/"), -1)))
@@ -49,18 +49,14 @@ def ingest_available(
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .load(raw_dir)
-        .select("path")
+        .select("path", "length", "modificationTime")
         .filter(wanted)
     )
 
     def load_batch(batch: DataFrame, epoch_id: int) -> None:
-        loaded = read_if_exists(spark, target_path, fmt)
-        if loaded is not None:
-            batch = batch.join(loaded.select(F.col(INGEST_FILE).alias("path")).distinct(), "path", "left_anti")
-        # At most max_files_per_trigger short strings.
-        paths = sorted(r["path"] for r in batch.distinct().collect())
-        if paths:
-            incremental_frame(spark, c, paths).write.mode("append").format(fmt).save(target_path)
+        # at most max_files_per_trigger rows
+        files = spark.createDataFrame(batch.collect(), batch.schema)
+        table.load(table.unseen(files), lambda paths: records(spark, c, paths))
 
     query = (
         listing.writeStream.foreachBatch(load_batch)
@@ -89,16 +85,15 @@ def stream_fixed_layout(
     sink, whose own metadata log makes each file land exactly once; no
     ``foreachBatch`` is needed.  Columns are taken by position, and each header
     is checked against the contract: a file with another column order fails
-    the load and must go through ``ingest_available`` instead.
+    the load and must go through ``ingest_available`` instead.  Records with
+    more or fewer fields go to the folder ``rejected=1`` of the sink, with
+    their text in ``rejected_record``; good rows are those of ``rejected=0``.
     """
     selector = c.filename if c.filename else f"*{c.keyword}*"
+    schema = T.StructType([*c.schema.fields, T.StructField(REJECTED, T.StringType(), True)])
     rows = (
-        spark.readStream.schema(c.schema)
-        .option("header", "true")
-        .option("sep", c.sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", "true" if c.multi_line else "false")
+        _options(spark.readStream, c.sep, c.multi_line)
+        .schema(schema)
         .option("enforceSchema", "false")  # a header in another order fails the load
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", _glob_any_case(selector))
@@ -107,9 +102,11 @@ def stream_fixed_layout(
         .select("*", *source_file_columns())
         .withColumn("source_system", F.lit(c.source))
         .withColumn("ingest_ts", F.current_timestamp())
+        .withColumn("rejected", F.col(REJECTED).isNotNull().cast("int"))
     )
     query = (
         rows.writeStream.format("parquet")
+        .partitionBy("rejected")
         .option("path", target_path)
         .option("checkpointLocation", checkpoint_location)
         .trigger(availableNow=True)
