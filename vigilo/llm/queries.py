@@ -14,6 +14,18 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def piece_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_order_minhash(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm.near_dedup import near_groups
 
@@ -83,6 +95,12 @@ def op10_prefix_targets(spark: SparkSession, d: str) -> DataFrame:
     return digests(spark.read.parquet(out))
 
 
+def op13_fragment_alignment(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.alignment import align_documents
+
+    return align_documents(table(spark, d, "documents"), byte_tokenizer(), piece_tokenizer())
+
+
 def queries() -> dict:
     return {
         "op1_order_minhash": op1_order_minhash,
@@ -95,4 +113,5 @@ def queries() -> dict:
         "op8_mix_sources": op8_mix_sources,
         "op9_pack_sequences": op9_pack_sequences,
         "op10_prefix_targets": op10_prefix_targets,
+        "op13_fragment_alignment": op13_fragment_alignment,
     }
