@@ -95,6 +95,12 @@ def op10_prefix_targets(spark: SparkSession, d: str) -> DataFrame:
     return digests(spark.read.parquet(out))
 
 
+def op11_grouping_genetic(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.grouping import pack_groups
+
+    return pack_groups(table(spark, d, "documents"), byte_tokenizer())
+
+
 def op13_fragment_alignment(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm.alignment import align_documents
 
@@ -113,5 +119,6 @@ def queries() -> dict:
         "op8_mix_sources": op8_mix_sources,
         "op9_pack_sequences": op9_pack_sequences,
         "op10_prefix_targets": op10_prefix_targets,
+        "op11_grouping_genetic": op11_grouping_genetic,
         "op13_fragment_alignment": op13_fragment_alignment,
     }
