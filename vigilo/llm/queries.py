@@ -101,6 +101,12 @@ def op11_grouping_genetic(spark: SparkSession, d: str) -> DataFrame:
     return pack_groups(table(spark, d, "documents"), byte_tokenizer())
 
 
+def op12_ball_tree_search(spark: SparkSession, d: str) -> DataFrame:
+    from vigilo.llm.ball_search import ranked_search
+
+    return ranked_search(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op13_fragment_alignment(spark: SparkSession, d: str) -> DataFrame:
     from vigilo.llm.alignment import align_documents
 
@@ -120,5 +126,6 @@ def queries() -> dict:
         "op9_pack_sequences": op9_pack_sequences,
         "op10_prefix_targets": op10_prefix_targets,
         "op11_grouping_genetic": op11_grouping_genetic,
+        "op12_ball_tree_search": op12_ball_tree_search,
         "op13_fragment_alignment": op13_fragment_alignment,
     }

@@ -53,5 +53,32 @@ FROM w GROUP BY conv_id
 """
 
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(column: str) -> str:
+    return f"unnest(regexp_extract_all(translate({column}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TERM}'))"
+
+
+OP12 = f"""
+WITH words AS (SELECT doc_id, {_terms('text')} AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2),
+lengths AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY 1),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+asked AS (SELECT item_id, term, count(*) AS repeats FROM (SELECT item_id, {_terms('text')} AS term FROM benchmark) GROUP BY 1, 2),
+weighted AS (
+  SELECT item_id, term, repeats * CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM asked JOIN df USING (term) CROSS JOIN totals
+),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+  FROM weighted JOIN tf USING (term) JOIN lengths USING (doc_id) CROSS JOIN totals GROUP BY 1, 2
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2, "op3_tiled_topk": OP3, "op10_prefix_targets": OP10}
+    return {"op2_exact_dedup": OP2, "op3_tiled_topk": OP3, "op10_prefix_targets": OP10, "op12_ball_tree_search": OP12}
