@@ -15,8 +15,8 @@ SIZES = st.lists(st.integers(1, 50), min_size=1, max_size=60)
 
 
 def check(sizes, bins, capacity):
-    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
-    assert all(sum(sizes[i] for i in b) <= capacity for b in bins)
+    assert sorted(i for _, b in bins for i in b) == list(range(len(sizes)))
+    assert all(sum(sizes[i] for i in b) == fill <= capacity for fill, b in bins)
 
 
 def fewest(sizes, capacity):
@@ -46,11 +46,11 @@ def test_children_are_packings_that_keep_the_givers_bins(sizes, seed):
     a, b = g.first_population(sizes, 50, rng, 2)
     child = g.crossover(sizes, a, b, 50, rng)
     check(sizes, child, 50)
-    assert any(set(x) == set(y[: len(x)]) or set(x) <= set(y) for x in a for y in child)
+    assert any(set(x) <= set(y) for _, x in a for _, y in child)
     check(sizes, g.mutate(sizes, child, 50, rng), 50)
     evolved = g.evolve(sizes, [a, b], 50, rng, 0)
     check(sizes, evolved[0], 50)
-    assert g.fitness(sizes, evolved[0], 50) >= max(g.fitness(sizes, x, 50) for x in (a, b))
+    assert g.fitness(evolved[0], 50) >= max(g.fitness(x, 50) for x in (a, b))
 
 
 @settings(max_examples=60, deadline=None)

@@ -52,7 +52,7 @@ class ByteLevel:
 
         if _OTHER.search(text) or (self.added and self.added.search(text)):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
-        return np.array(self.fast.encode_ordinary(text), dtype=np.uint32)
+        return self.fast.encode_to_numpy(text, disallowed_special=())
 
 
 class Pieces:

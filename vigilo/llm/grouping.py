@@ -32,7 +32,6 @@ ignored.  ``with_ids`` adds the ids of every piece.
 from __future__ import annotations
 
 import random
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -52,7 +51,7 @@ CHILDREN = 12
 LOOSE = 24
 REDUCE = 16
 
-#: An individual: bins, each a tuple of item indexes.
+#: An individual: bins, each its fill and a tuple of item indexes.
 Bins = list
 
 
@@ -60,25 +59,34 @@ Bins = list
 
 
 def best_fit(sizes: list[int], items: list[int], capacity: int, bins: Bins | None = None) -> Bins:
-    """Put items, in their order, into the fullest bin that has room."""
-    bins = [list(b) for b in bins or []]
-    room = sorted((capacity - sum(sizes[i] for i in b), n) for n, b in enumerate(bins))
+    """Put items, in their order, into the fullest bin that has room.  Bins are
+    listed by their room, and a whole number has a bit for every room there is."""
+    full, rooms, bits = [], [[] for _ in range(capacity + 1)], 0
+    for b in bins or []:
+        rooms[capacity - b[0]].append(list(b[1]))
+        bits |= 1 << (capacity - b[0])
     for item in items:
-        at = bisect_left(room, (sizes[item], -1))
-        if at < len(room):
-            left, n = room.pop(at)
-            bins[n].append(item)
+        size = sizes[item]
+        fitting = bits >> size
+        if fitting:
+            room = size + (fitting & -fitting).bit_length() - 1
+            held = rooms[room].pop()
+            held.append(item)
+            if not rooms[room]:
+                bits ^= 1 << room
         else:
-            left, n = capacity, len(bins)
-            bins.append([item])
-        if left > sizes[item]:
-            insort(room, (left - sizes[item], n))
-    return [tuple(b) for b in bins]
+            room, held = capacity, [item]
+        if room > size:
+            rooms[room - size].append(held)
+            bits |= 1 << (room - size)
+        else:
+            full.append((capacity, tuple(held)))
+    return full + [(capacity - room, tuple(b)) for room, bs in enumerate(rooms) for b in bs]
 
 
-def fitness(sizes: list[int], bins: Bins, capacity: int) -> float:
+def fitness(bins: Bins, capacity: int) -> float:
     """Mean of squared fills; 0 for no bins."""
-    return sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins) / len(bins) if bins else 0.0
+    return sum([b[0] * b[0] for b in bins]) / (capacity * capacity * len(bins)) if bins else 0.0
 
 
 def lower_bound(sizes: list[int], capacity: int) -> int:
@@ -108,26 +116,25 @@ def lower_bound(sizes: list[int], capacity: int) -> int:
 def crossover(sizes: list[int], giver: Bins, taker: Bins, capacity: int, rng: random.Random) -> Bins:
     """The giver's well-filled bins, the taker's bins without any of their
     items, and the displaced items by best fit."""
-    fill = [sum(sizes[i] for i in b) for b in giver]
-    order = sorted(range(len(giver)), key=lambda n: (-fill[n], rng.random()))
-    given = [giver[n] for n in order[: max(1, int(len(giver) * rng.uniform(0.2, 0.7)))]]
-    held = {i for b in given for i in b}
+    order = sorted(giver, key=lambda b: (-b[0], rng.random()))
+    given = order[: max(1, int(len(giver) * rng.uniform(0.2, 0.7)))]
+    held = {i for b in given for i in b[1]}
     kept, displaced = given, []
     for b in taker:
-        if held.isdisjoint(b):
+        if held.isdisjoint(b[1]):
             kept.append(b)
         else:
-            displaced += [i for i in b if i not in held]
+            displaced += [i for i in b[1] if i not in held]
     displaced.sort(key=lambda i: (-sizes[i], i))
     return best_fit(sizes, displaced, capacity, kept)
 
 
 def mutate(sizes: list[int], bins: Bins, capacity: int, rng: random.Random) -> Bins:
     """Dissolve the emptiest bins and a few others, and best-fit their items."""
-    order = sorted(range(len(bins)), key=lambda n: (sum(sizes[i] for i in bins[n]), rng.random()))
+    order = sorted(range(len(bins)), key=lambda n: (bins[n][0], rng.random()))
     few = max(1, len(bins) // 50)
     out = set(order[:few]) | {rng.randrange(len(bins)) for _ in range(few)}
-    loose = [i for n in out for i in bins[n]]
+    loose = [i for n in sorted(out) for i in bins[n][1]]
     loose.sort(key=lambda i: (-sizes[i] * rng.uniform(0.9, 1.1), i))
     return best_fit(sizes, loose, capacity, [b for n, b in enumerate(bins) if n not in out])
 
@@ -141,7 +148,7 @@ def first_population(sizes: list[int], capacity: int, rng: random.Random, n: int
 
 def evolve(sizes: list[int], population: list[Bins], capacity: int, rng: random.Random, bound: int, children: int = CHILDREN) -> list[Bins]:
     """One epoch: children of parents chosen by tournament replace the worst."""
-    scored = [(fitness(sizes, p, capacity), p) for p in population]
+    scored = [(fitness(p, capacity), p) for p in population]
     for _ in range(children):
         scored.sort(key=lambda x: -x[0])
         if len(scored[0][1]) <= bound:
@@ -150,7 +157,7 @@ def evolve(sizes: list[int], population: list[Bins], capacity: int, rng: random.
         child = crossover(sizes, giver, taker, capacity, rng)
         if rng.random() < 0.5:
             child = mutate(sizes, child, capacity, rng)
-        scored.append((fitness(sizes, child, capacity), child))
+        scored.append((fitness(child, capacity), child))
         scored = sorted(scored, key=lambda x: -x[0])[:POPULATION]  # the worst goes
     scored.sort(key=lambda x: -x[0])
     return [p for _, p in scored]
@@ -205,17 +212,17 @@ _COLUMNS = ["block", "island", "bound", "used", "score", "items", "population"]
 def _labels(bins: Bins, n: int) -> list[int]:
     """The bin's number of every item."""
     out = [0] * n
-    for number, b in enumerate(bins):
-        for i in b:
+    for number, (_, items) in enumerate(bins):
+        for i in items:
             out[i] = number
     return out
 
 
-def _bins(labels) -> Bins:
+def _bins(labels, sizes: list[int]) -> Bins:
     found: dict[int, list[int]] = {}
     for i, n in enumerate(labels):
         found.setdefault(n, []).append(i)
-    return [tuple(b) for b in found.values()]
+    return [(sum([sizes[i] for i in b]), tuple(b)) for b in found.values()]
 
 
 def _epoch(capacity: int, seed: int):
@@ -232,12 +239,12 @@ def _epoch(capacity: int, seed: int):
             for row in batch.to_pylist():
                 sizes = [x["length"] for x in row["items"]]
                 rng = random.Random(f"{seed}/{row['block']}/{row['island']}")
-                known = [_bins(p) for p in row["population"] or []]
+                known = [_bins(p, sizes) for p in row["population"] or []]
                 if not known:
                     row["bound"] = lower_bound(sizes, capacity)
                     known = first_population(sizes, capacity, rng)
                 known = evolve(sizes, known, capacity, rng, row["bound"])[:POPULATION]
-                row |= {"used": len(known[0]), "score": fitness(sizes, known[0], capacity), "population": [_labels(b, len(sizes)) for b in known]}
+                row |= {"used": len(known[0]), "score": fitness(known[0], capacity), "population": [_labels(b, len(sizes)) for b in known]}
                 yield pa.RecordBatch.from_pylist([row], schema=schema)
 
     return run
