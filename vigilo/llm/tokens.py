@@ -4,7 +4,8 @@ The tokenizer drops white space and cuts words at it, so a text's ids are the
 ids of its white-space-free pieces one after the other.  It lower-cases, and it
 cuts between a letter or digit and the punctuation after it, so a piece of
 Latin letters and closing punctuation has the ids of its lower-case word and
-then those of the punctuation.  Words go to the tokenizer's model directly; all
+then those of the punctuation.  Words go to the same merges in tiktoken, with a
+byte that stands for the end of a word (``word_merges``); all
 other pieces go through the whole tokenizer, many in one call, with a NUL
 between them (whose one id marks the borders).  Pieces and words are remembered
 up to a bound, as most of them return soon.  Ids are handled as little-endian
@@ -33,6 +34,41 @@ def byte_letters() -> dict[int, int]:
     return {b: b for b in own} | {b: 0x100 + i for i, b in enumerate(rest)}
 
 
+#: Stands for the end of a word; no word holds it.
+WORD_END = "\0"
+
+
+def word_merges(path: str):
+    """A tiktoken encoding of the merges of a vocabulary with word ends, and
+    of each of its ranks the id and whether it ends a word; ``None`` for a
+    vocabulary of another kind.  Ranks: bytes, bytes that end a word (which so
+    are joined first), merges."""
+    import json
+
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    vocabulary, suffix = model["vocab"], model.get("end_of_word_suffix")
+    letters = {b: chr(c) for b, c in byte_letters().items()}
+    if not suffix or not all(x in vocabulary and x + suffix in vocabulary for x in letters.values()):
+        return None
+    byte_of = {x: b for b, x in letters.items()}
+    end = WORD_END.encode()
+
+    def raw(token: str) -> bytes:
+        stem = token.removesuffix(suffix)
+        return bytes([byte_of[c] for c in stem]) + end * (stem != token)
+
+    ranks, ids = {}, []
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    for token in [*letters.values(), *[x + suffix for x in letters.values()], *["".join(m) for m in merges]]:
+        if ranks.setdefault(raw(token), len(ids)) == len(ids):
+            ids.append(vocabulary[token])
+    ends = [raw_token.endswith(end) for raw_token in ranks]
+    return tiktoken.Encoding(os.path.basename(path), pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={}), ids, ends
+
+
 def latin_word(piece: str) -> tuple[str, str] | None:
     """(lower-case word, closing punctuation) of a piece, if it is such."""
     word = piece.rstrip(_CLOSING)
@@ -50,50 +86,67 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.letters = byte_letters()
         self.pieces: dict[bytes, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.closing: dict[str, bytes] = {"": b""}
-        self.direct = all(self._latin(*latin_word(p)) == self._whole(p) for p in _PROBE)
         border = self.tokenizer.encode("\0", add_special_tokens=False).ids
         self.border = border[0] if len(border) == 1 else None
+        merges = word_merges(path)
+        self.direct = merges is not None
+        if merges:
+            import numpy as np
+
+            self.merges, by_rank, ends = merges
+            self.by_rank, self.ends = np.array(by_rank, dtype="<u4"), np.array(ends)
+            self.direct = all(self._encode({p.encode()})[0][p.encode()] == self._whole(p) for p in _PROBE)
 
     def _whole(self, text: str) -> bytes:
         import numpy as np
 
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _latin(self, word: str, closing: str) -> bytes:
-        """The ids of a Latin word, by the model alone, and of what closes it."""
-        ids = self.words.get(word)
-        if ids is None:
-            low = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
-            ids = b"".join([t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(low)])
-            if len(word) <= LONGEST:
-                self.words[word] = ids
-        if closing:
-            end = self.closing.get(closing)
-            if end is None:
-                end = self._whole(closing)
-                if len(closing) <= LONGEST and len(self.closing) < REMEMBERED:
-                    self.closing[closing] = end
-            return ids + end
-        return ids
-
-    def _encode(self, pieces: set[bytes]) -> dict[bytes, bytes]:
-        """The ids of new pieces."""
+    def _learn(self, words: list[str]) -> None:
+        """The ids of new Latin words, from one call."""
+        import numpy as np
+
+        ranks = np.array(self.merges.encode_ordinary(WORD_END.join(words) + WORD_END), dtype=np.int64)
+        raw, at = self.by_rank[ranks].tobytes(), 0
+        for word, end in zip(words, (4 * (np.flatnonzero(self.ends[ranks]) + 1)).tolist()):
+            self.words[word] = raw[at:end]
+            at = end
+
+    def _closing(self, closing: str) -> bytes:
+        end = self.closing.get(closing)
+        if end is None:
+            end = self._whole(closing)
+            if len(closing) <= LONGEST and len(self.closing) < REMEMBERED:
+                self.closing[closing] = end
+        return end
+
+    def _encode(self, pieces: set[bytes]) -> tuple[dict[bytes, bytes], dict[bytes, bytes]]:
+        """The ids of new pieces: of those to remember, and of long ones."""
         import numpy as np
 
-        found, joint, own = {}, [], []
         if len(self.words) > REMEMBERED:
             self.words.clear()
+        latin, closed, joint, own = {}, [], [], []
         for p in pieces:
             text = p.decode("utf-8")
-            word = latin_word(text) if self.direct else None
-            if word:
-                found[p] = self._latin(*word)
-            else:  # NULs and long pieces are encoded alone
-                (own if self.border is None or "\0" in text or len(p) > LONGEST else joint).append((p, text))
+            if len(p) > LONGEST:
+                own.append((p, text))
+            elif self.direct and text.isascii() and text.isalpha():
+                latin[p] = text.lower()
+            elif self.direct and (word := latin_word(text)):
+                closed.append((p, *word))
+            else:
+                (joint if self.border is not None and "\0" not in text else own).append((p, text))
+        words = self.words
+        fresh = {*latin.values(), *[w for _, w, _ in closed]}.difference(words)
+        if fresh:
+            self._learn(list(fresh))
+        found = {p: words[w] for p, w in latin.items()}
+        for p, word, closing in closed:
+            found[p] = words[word] + self._closing(closing)
         if joint:
             raw = self._whole(" \0 ".join([t for _, t in joint]))
             ends = [4 * int(c) for c in np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.border)]
@@ -104,8 +157,7 @@ class Encoder:
                     start = end + 4
             else:  # the border's id came from a piece as well
                 own += joint
-        found.update((p, self._whole(t)) for p, t in own)
-        return found
+        return found, {p: self._whole(t) for p, t in own}
 
     def __call__(self, text: bytes | None) -> bytes:
         """The ids of a UTF-8 text; of null, none."""
@@ -113,11 +165,12 @@ class Encoder:
         known = self.pieces
         ids = list(map(known.get, pieces))
         if None in ids:
-            fresh = self._encode({p for p, i in zip(pieces, ids) if i is None})
-            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
+            fresh, alone = self._encode({p for p, i in zip(pieces, ids) if i is None})
             if len(known) > REMEMBERED:
                 known.clear()
-            known.update((p, i) for p, i in fresh.items() if len(p) <= LONGEST)
+            known.update(fresh)
+            fresh.update(alone)
+            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
         return b"".join(ids)
 
 
