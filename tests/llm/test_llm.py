@@ -351,34 +351,64 @@ def test_split_quotas_are_exact(spark):
 # ------------------------------------------------------------------ lines
 
 
+def without_repeats(texts):
+    """Lines left of each text when runs of two lines (blank ones between them
+    included) that stand earlier somewhere are taken out; written without
+    chunks or hashes."""
+    seen, left = set(), []
+    for t in texts:
+        lines, gone = (t or "").split("\n"), set()
+        full = [i for i, x in enumerate(lines) if x.strip(" \t\r\x0b\x0c")]
+        for a, b in zip(full, full[1:]):
+            run = "\n".join(lines[a : b + 1])
+            if run in seen:
+                gone.update(range(a, b + 1))
+            seen.add(run)
+        left.append([x for i, x in enumerate(lines) if i not in gone])
+    return left
+
+
 def test_line_chunks(spark, empty):
-    from vigilo.llm.line_dedup import LEAST_LINES, cut_lines, drop_repeated_chunks, line_report
+    from vigilo.llm.line_dedup import drop_repeated_chunks, line_report
 
     r = random.Random(3)
-    line = lambda: " ".join(r.choice(WORDS) for _ in range(5))
-    passage = [line() for _ in range(12)]
-    texts = ["\n".join([line() for _ in range(i % 4)] + (passage if i % 2 else []) + [line() for _ in range(3)]) for i in range(20)] + [None, "", "one line"]
-    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, hash string")
+    number = iter(range(10**6))
+    line = lambda: " ".join(r.choice(WORDS) for _ in range(5)) + f" {next(number)}"
+    own = lambda n: [line() for _ in range(n)]
+    passages = {n: own(n) for n in range(2, 13)}
+    texts = []
+    for n, passage in passages.items():  # each in changing surroundings, once with a blank line in all its copies
+        passage[1:1] = [""] * (n == 5)
+        texts += ["\n".join(own(k) + passage + own(2 - k)) for k in range(3)]
+    single = line()
+    texts += [None, "", "one line", "one line", f"{single}\n{line()}", f"{single}\n{line()}", "x\n\n\n\ny1", "x\n\n\n\ny2", "a\nb\na\nb", "a\r\nb"]
+    texts += ["\n".join(own(20_000) + passages[12]), texts[0], texts[0]]
+    rows = [(i, t, "x", "y") for i, t in enumerate(texts)] + [(None, texts[1], "x", "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, hash string, file string").repartition(3)
     got = {x.doc_id: x for x in line_report(df).collect()}
-    seen, gone = set(), {}
-    for i, t in enumerate(texts):
-        lines = (t or "").split("\n")
-        for first, n in cut_lines([x.encode() for x in lines]):
-            chunk = "\n".join(lines[first : first + n])
-            if n >= LEAST_LINES:
-                gone.setdefault(i, [])
-                if chunk in seen:
-                    gone[i].append((first, n))
-                seen.add(chunk)
-    for i, t in enumerate(texts):
-        lines, out = (t or "").split("\n"), gone.get(i, [])
-        clean = "\n".join(x for k, x in enumerate(lines) if not any(a <= k < a + n for a, n in out))
-        assert [tuple(x) for x in got[i].removed] == out and got[i].clean_sha256 == hashlib.sha256(clean.encode()).hexdigest()
-    assert sum(len(v) for v in gone.values()) >= 9  # the passage was found behind shifted beginnings
-    assert drop_repeated_chunks(df).columns == df.columns
+    want = without_repeats([t for _, t, *_ in rows])
+    for (i, t, *_), left in zip(rows, want):
+        assert got[i].clean_sha256 == hashlib.sha256("\n".join(left).encode()).hexdigest(), (i, t[:80])
+        assert got[i].n_lines - got[i].removed_lines == len(left)
+    assert all(got[3 * (n - 2) + k].removed_lines == len(p) for n, p in passages.items() for k in (1, 2))
+    kept = {x.doc_id: x.text for x in drop_repeated_chunks(df).collect()}
+    assert kept[4] == "\n".join(want[4]) and drop_repeated_chunks(df).columns == df.columns
     assert line_report(empty).count() == 0
 
 
+def test_borders_depend_on_their_window_only():
+    from vigilo.llm.line_dedup import cut_lines
+
+    r = random.Random(4)
+    passage = [b"p%d" % r.randrange(10**9) for _ in range(60)]
+    inner = set()
+    for k in (0, 3, 7):
+        around = [b"o%d" % r.randrange(10**9) for _ in range(k)]
+        chunks = cut_lines(around + passage + around, divisor=4)
+        inner.add(tuple((a - k, n) for a, n in chunks if a - k >= 2 and a + n - k <= 58))
+    assert len({x[1:-1] for x in inner}) == 1 and all(len(x) > 5 for x in inner)
+
+
 # --------------------------------------------------------------- toxicity
 
 

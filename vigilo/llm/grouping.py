@@ -205,8 +205,9 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
     return ship(rows).mapInArrow(run, schema)
 
 
-_STATE = "block bigint, island int, bound int, used int, score double, items array<struct<doc:bigint,piece:int,length:int>>, population array<array<int>>"
-_COLUMNS = ["block", "island", "bound", "used", "score", "items", "population"]
+#: ``population``: the bin of every item, of one individual after the other.
+_STATE = "block bigint, island int, bound int, used int, score double, lengths array<int>, population array<int>"
+_COLUMNS = ["block", "island", "bound", "used", "score", "lengths", "population"]
 
 
 def _labels(bins: Bins, n: int) -> list[int]:
@@ -232,20 +233,21 @@ def _epoch(capacity: int, seed: int):
     def run(batches) -> Iterator:
         import pyarrow as pa
 
-        item = pa.struct([("doc", pa.int64()), ("piece", pa.int32()), ("length", pa.int32())])
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.list_(item), pa.list_(pa.list_(pa.int32()))]
-        schema = pa.schema(list(zip(_COLUMNS, kinds)))
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
         for batch in batches:
-            for row in batch.to_pylist():
-                sizes = [x["length"] for x in row["items"]]
-                rng = random.Random(f"{seed}/{row['block']}/{row['island']}")
-                known = [_bins(p, sizes) for p in row["population"] or []]
+            for at in range(batch.num_rows):
+                block, island, bound = (batch.column(c)[at].as_py() for c in _COLUMNS[:3])
+                lengths, before = batch.column("lengths")[at], batch.column("population")[at].values
+                sizes, n = lengths.values.to_pylist(), len(lengths)
+                rng = random.Random(f"{seed}/{block}/{island}")
+                known = [_bins(before[i : i + n].to_pylist(), sizes) for i in range(0, len(before), n)]
                 if not known:
-                    row["bound"] = lower_bound(sizes, capacity)
+                    bound = lower_bound(sizes, capacity)
                     known = first_population(sizes, capacity, rng)
-                known = evolve(sizes, known, capacity, rng, row["bound"])[:POPULATION]
-                row |= {"used": len(known[0]), "score": fitness(known[0], capacity), "population": [_labels(b, len(sizes)) for b in known]}
-                yield pa.RecordBatch.from_pylist([row], schema=schema)
+                known = evolve(sizes, known, capacity, rng, bound)[:POPULATION]
+                labels = [x for b in known for x in _labels(b, n)]
+                row = (block, island, bound, len(known[0]), fitness(known[0], capacity), sizes, labels)
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=_COLUMNS)
 
     return run
 
@@ -254,10 +256,10 @@ def _evolved(items: DataFrame, blocks: int, level: int, capacity: int) -> DataFr
     """(doc, piece, length, block, bin) of the best packing of every block."""
     block = F.pmod(uniform_hash("doc", "piece", level), F.lit(blocks)).cast("bigint")
     dealt = items.select(block.alias("block"), F.struct("doc", "piece", F.col("length").cast("int").alias("length")).alias("item"))
-    grouped = dealt.groupBy("block").agg(F.sort_array(F.collect_list("item")).alias("items"))  # about BLOCK items
+    grouped = stored(dealt.groupBy("block").agg(F.sort_array(F.collect_list("item")).alias("items")), "blocks")  # about BLOCK items
     start = grouped.select(
         "block", F.explode(F.sequence(F.lit(0), F.lit(ISLANDS - 1))).alias("island"), F.lit(None).cast("int").alias("bound"), F.lit(None).cast("int").alias("used"),
-        F.lit(None).cast("double").alias("score"), "items", F.lit(None).cast("array<array<int>>").alias("population"),
+        F.lit(None).cast("double").alias("score"), F.transform("items", lambda x: x["length"]).alias("lengths"), F.array().cast("array<int>").alias("population"),
     )
     state = stored(start.repartition("block", "island").mapInArrow(_epoch(capacity, level * 1000), _STATE), "islands")
     for epoch in range(1, EPOCHS):
@@ -267,16 +269,16 @@ def _evolved(items: DataFrame, blocks: int, level: int, capacity: int) -> DataFr
             break
         # the ring: each island's elite goes to the next island of its block
         elite = state.select(
-            "block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("population", 1, ELITE).alias("elite")
+            "block", F.pmod(F.col("island") + 1, F.lit(ISLANDS)).cast("int").alias("island"), F.slice("population", F.lit(1), F.size("lengths") * ELITE).alias("elite")
         )
         met = state.join(open_, "block", "left_semi").join(elite, ["block", "island"])
         met = met.withColumn("population", F.concat("population", "elite")).select(*_COLUMNS)
         moved = met.repartition("block", "island").mapInArrow(_epoch(capacity, level * 1000 + epoch), _STATE)
         state = stored(moved.unionByName(state.join(open_, "block", "left_anti")), "islands")
     winner = Window.partitionBy("block").orderBy("used", F.col("score").desc(), "island")  # ISLANDS rows a block
-    won = state.withColumn("n", F.row_number().over(winner)).filter("n = 1")
-    cells = F.arrays_zip(F.col("items").alias("item"), F.col("population")[0].alias("bin"))
-    return won.select("block", F.explode(cells).alias("x")).select("x.item.*", "block", "x.bin")
+    won = state.withColumn("n", F.row_number().over(winner)).filter("n = 1").select("block", F.slice("population", F.lit(1), F.size("lengths")).alias("best"))
+    cells = F.arrays_zip(F.col("items").alias("item"), F.col("best").alias("bin"))
+    return grouped.join(won, "block").select("block", F.explode(cells).alias("x")).select("x.item.*", "block", "x.bin")
 
 
 def _amount(items: DataFrame) -> tuple[int, int]:

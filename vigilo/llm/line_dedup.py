@@ -1,21 +1,28 @@
 """Line deduplication by content-defined line chunks.
 
-A rolling hash over the hashes of the last ``WINDOW`` lines ends a chunk where
-it is 0 modulo ``DIVISOR`` (a chunk has at least two lines, but for a text's
-last).  The borders depend on the lines around them only, so a passage is cut
-alike wherever it stands.  Chunks of several lines whose hash occurs more than
-once are compared byte by byte (grouped by their text); of equal chunks the
-first, by (doc_id, file, row, position), stays and the others are removed.
-
-Chunk hashes are counted with map-side combining; only rows with a repeated
-hash carry their text to the comparison, and the join back to equal chunks is
-one AQE can split, so a chunk that a third of the documents share is fine.
+A rolling hash over the hashes of ``WINDOW`` lines makes the first of them a
+border where it is 0 modulo ``DIVISOR``; so are a text's first and last line.
+Blank lines are never borders and count for no window.  A chunk runs from a
+border to the next one, both lines included.  A border depends on the
+lines of its window alone, so a passage is cut alike wherever it stands.
+With ``DIVISOR`` 1, the default, every window is a chunk: only then is a
+passage of two lines always found, and a longer one found to its last line
+(neighbouring chunks share a line).  A larger divisor makes fewer rows and finds
+passages that hold two borders.
+
+Rows of the index are a chunk's hash and place, without text.  Places of hashes
+that occur more than once are brought back to their documents, where the text of
+those chunks alone is cut out and compared byte by byte (grouped by hash and
+text, combined map-side); of equal chunks the first, by (doc_id, file, row,
+position), stays and the lines of the others are removed.  Every join is on the
+hash or on the document, which AQE can split, so a chunk that a third of the
+documents share is fine.
 
 Defined results: null text is empty text; lines end at \\n and keep all other
-bytes; single-line chunks are never removed; a document may lose all its lines
-(its text is then empty) but not its row; of repeated rows the first keeps its
-chunks; null ids come last; an empty table gives an empty result; other columns
-are carried by ``drop_repeated_chunks`` and may have any name.
+bytes; a document may lose all its lines (its text is then empty) but not its
+row; of repeated rows the first keeps its lines; null ids come last; an empty
+table gives an empty result; other columns are carried by
+``drop_repeated_chunks`` and may have any name.
 """
 
 from __future__ import annotations
@@ -28,79 +35,103 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vigilo.llm.common import ship, stored
 
 WINDOW = 2
-DIVISOR = 3
-LEAST_LINES = 2
+DIVISOR = 1
 
 
-def cut_lines(lines: list[bytes], window: int = WINDOW, divisor: int = DIVISOR) -> list[tuple[int, int]]:
+def cut_lines(lines: list[bytes], divisor: int = DIVISOR, window: int = WINDOW) -> list[tuple[int, int]]:
     """(first line, number of lines) of the chunks of a text."""
     import xxhash
 
-    prime, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
-    out = pow(prime, window, 1 << 64)
-    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
-    chunks, start, rolling = [], 0, 0
-    for i, h in enumerate(hashes):
-        rolling = (rolling * prime + h) & mask
-        if i >= window:
-            rolling = (rolling - hashes[i - window] * out) & mask
-        mixed = (rolling ^ (rolling >> 29)) * 0xBF58476D1CE4E5B9 & mask
-        if i >= window - 1 and i + 1 - start >= LEAST_LINES and (mixed >> 32) % divisor == 0:
-            chunks.append((start, i + 1 - start))
-            start = i + 1
-    if start < len(lines):
-        chunks.append((start, len(lines) - start))
-    return chunks
-
-
-def chunks_of(rows: DataFrame) -> DataFrame:
-    """(file, row, doc_id, first, lines, hash, text) of the chunks of several
-    lines of located rows, stored."""
+    full = [i for i, line in enumerate(lines) if line.strip()]
+    borders = full
+    if divisor > 1:
+        prime, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+        out, rolling, hashes = pow(prime, window, 1 << 64), 0, [xxhash.xxh64_intdigest(lines[i]) for i in full]
+        borders = full[:1]
+        for k, h in enumerate(hashes):
+            rolling = (rolling * prime + h - (hashes[k - window] * out if k >= window else 0)) & mask
+            mixed = (rolling ^ (rolling >> 29)) * 0xBF58476D1CE4E5B9 & mask
+            if k >= window and (mixed >> 32) % divisor == 0:
+                borders.append(full[k - window + 1])
+        if full and borders[-1] != full[-1]:
+            borders.append(full[-1])
+    return [(a, b - a + 1) for a, b in zip(borders, borders[1:])]
+
+
+def _digest(chunk: bytes) -> bytes:
+    import xxhash
+
+    return xxhash.xxh3_128_digest(chunk)
+
+
+def chunks_of(rows: DataFrame, divisor: int = DIVISOR) -> DataFrame:
+    """(file, row, first, lines, hash) of the chunks of located rows."""
 
     def run(batches) -> Iterator:
-        import hashlib
+        import pyarrow as pa
+
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+
+        def batch_of(batch, found):
+            at, *cols = (pa.array(c, k) for c, k in zip(zip(*found), kinds))
+            return pa.RecordBatch.from_arrays([*batch.take(at).columns, *cols], names=["file", "row", "first", "lines", "hash"])
 
+        for batch in batches:
+            texts, places, found = batch.column(2).cast(pa.large_binary()), batch.select([0, 1]), []
+            for at in range(batch.num_rows):
+                lines = (texts[at].as_py() or b"").split(b"\n")
+                found += [(at, first, n, _digest(b"\n".join(lines[first : first + n]))) for first, n in cut_lines(lines, divisor)]
+                if len(found) > 1 << 17:
+                    yield batch_of(places, found)
+                    found = []
+            if found:
+                yield batch_of(places, found)
+
+    return ship(rows.select("file", "row", "text")).mapInArrow(run, "file string, row bigint, first int, lines int, hash binary")
+
+
+def _chunk_texts(rows: DataFrame) -> DataFrame:
+    """(file, row, doc_id, first, lines, hash, text) of the chunks listed in
+    each row's ``hits``."""
+
+    def run(batches) -> Iterator:
         import pyarrow as pa
 
-        kinds = pa.schema([("at", pa.int32()), ("first", pa.int32()), ("lines", pa.int32()), ("hash", pa.binary()), ("text", pa.string())])
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.string()]
 
         def batch_of(batch, found):
-            cols = list(zip(*found))
-            rows = batch.take(pa.array(cols[0], pa.int32()))
-            return pa.RecordBatch.from_arrays(
-                [*rows.columns[:3], *[pa.array(c, kinds.field(i + 1).type) for i, c in enumerate(cols[1:])]],
-                names=["file", "row", "doc_id", "first", "lines", "hash", "text"],
-            )
+            at, *cols = (pa.array(c, k) for c, k in zip(zip(*found), kinds))
+            return pa.RecordBatch.from_arrays([*batch.take(at).columns, *cols], names=["file", "row", "doc_id", "first", "lines", "hash", "text"])
 
         for batch in batches:
-            texts = batch.column(3).cast(pa.large_binary())
-            ids, found, size = batch.select([0, 1, 2]), [], 0
+            texts, places, found, size = batch.column(3).cast(pa.large_binary()), batch.select([0, 1, 2]), [], 0
             for at in range(batch.num_rows):
                 lines = (texts[at].as_py() or b"").split(b"\n")
-                for first, n in cut_lines(lines):
-                    if n >= LEAST_LINES:
-                        chunk = b"\n".join(lines[first : first + n])
-                        found.append((at, first, n, hashlib.blake2b(chunk, digest_size=16).digest(), chunk.decode("utf-8")))
-                        size += len(chunk)
+                for first, n, digest in zip(*(batch.column("hits")[at].values.field(i).to_pylist() for i in range(3))):
+                    chunk = b"\n".join(lines[first : first + n])
+                    found.append((at, first, n, digest, chunk.decode("utf-8")))
+                    size += len(chunk) + 64
                 if size > 8 << 20:
-                    yield batch_of(ids, found)
+                    yield batch_of(places, found)
                     found, size = [], 0
             if found:
-                yield batch_of(ids, found)
+                yield batch_of(places, found)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return stored(ship(rows.select("file", "row", "doc_id", "text")).mapInArrow(run, f"file string, row bigint, doc_id {kind}, first int, lines int, hash binary, text string"), "line-chunks")
+    return rows.select("file", "row", "doc_id", "text", "hits").mapInArrow(run, f"file string, row bigint, doc_id {kind}, first int, lines int, hash binary, text string")
 
 
-def repeated_chunks(rows: DataFrame) -> DataFrame:
+def repeated_chunks(rows: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     """(file, row, removed) of rows that lose chunks; ``removed`` is an array of
     (first, lines)."""
-    chunks = chunks_of(rows)
+    chunks = stored(chunks_of(rows, divisor), "line-chunks")
     often = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
-    again = chunks.join(often, "hash", "left_semi")
+    hits = chunks.join(often, "hash", "left_semi").groupBy("file", "row").agg(F.sort_array(F.collect_list(F.struct("first", "lines", "hash"))).alias("hits"))
+    again = stored(_chunk_texts(rows.join(hits, ["file", "row"])), "line-texts")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row", "first")
-    equal = stored(again.groupBy("hash", "text").agg(F.min(place).alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "line-equal")
-    gone = again.withColumn("place", place).join(equal.drop("n"), ["hash", "text"]).filter(~F.col("place").eqNullSafe(F.col("keeper")))
+    equal = again.groupBy("hash", "text").agg(F.min(place).alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", F.md5("text").alias("own"), "keeper")
+    placed = again.select("file", "row", "first", "lines", "hash", F.md5("text").alias("own"), place.alias("place"))
+    gone = placed.join(equal, ["hash", "own"]).filter(~F.col("place").eqNullSafe(F.col("keeper")))
     return gone.groupBy("file", "row").agg(F.sort_array(F.collect_list(F.struct("first", "lines"))).alias("removed"))
 
 
@@ -133,7 +164,8 @@ def line_report(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"),
         F.size("removed").cast("long").alias("removed_chunks"),
-        F.aggregate("removed", F.lit(0).cast("long"), lambda a, r: a + r["lines"]).alias("removed_lines"),
+        # chunks share lines
+        F.size(F.array_distinct(F.flatten(F.transform("removed", lambda r: F.sequence(r["first"], r["first"] + r["lines"] - 1))))).cast("long").alias("removed_lines"),
         "removed",
         F.length("clean").cast("long").alias("clean_chars"),
         F.sha2("clean", 256).alias("clean_sha256"),
