@@ -127,7 +127,8 @@ def repeated_chunks(rows: DataFrame, divisor: int = DIVISOR) -> DataFrame:
     chunks = stored(chunks_of(rows, divisor), "line-chunks")
     often = chunks.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash")
     hits = chunks.join(often, "hash", "left_semi").groupBy("file", "row").agg(F.sort_array(F.collect_list(F.struct("first", "lines", "hash"))).alias("hits"))
-    again = stored(_chunk_texts(rows.join(hits, ["file", "row"])), "line-texts")
+    # hits and removed chunks grow with the corpus: sorted joins at any size, no broadcast
+    again = stored(_chunk_texts(rows.join(hits.hint("merge"), ["file", "row"])), "line-texts")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row", "first")
     equal = again.groupBy("hash", "text").agg(F.min(place).alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", F.md5("text").alias("own"), "keeper")
     placed = again.select("file", "row", "first", "lines", "hash", F.md5("text").alias("own"), place.alias("place"))
@@ -153,7 +154,7 @@ def _with_removed(docs: DataFrame) -> DataFrame:
     rows = content.select(F.struct("*").alias("doc"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     gone = stored(repeated_chunks(rows.select("file", "row", "doc.doc_id", "doc.text")), "line-removed")
     none = F.array().cast(gone.schema["removed"].dataType)
-    return rows.join(gone, ["file", "row"], "left").withColumn("removed", F.coalesce("removed", none))
+    return rows.join(gone.hint("merge"), ["file", "row"], "left").withColumn("removed", F.coalesce("removed", none))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
