@@ -1,5 +1,6 @@
 """Silver, dimension, fact and measure semantics on hand-made rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from vigilo.functions import canon, surrogate_key
@@ -177,3 +178,26 @@ def test_canon_is_shared_by_dims_and_facts(spark):
     f = facts.report_fact(s["demo"], s["drug"], s["reac"], s["indi"], s["outc"]).select("reaction_sk")
     assert f.join(d, "reaction_sk", "left_anti").count() == 0
     assert spark.range(1).select(canon(F.lit("  head\tache "))).first()[0] == "HEAD ACHE"
+
+
+@pytest.mark.parametrize("large", [0, 2, 2_000])
+def test_studied_pairs_without_the_product(spark, large):
+    """Small and large studies, duplicates, blanks and an unregistered study: the
+    reported pairs found are those of the trial fact."""
+    studies = spark.createDataFrame([("N1",), (" N2 ",), ("N3",)], "nct_id string")
+    drugs = [("N1", "a"), ("N1", "A "), ("N1", "b"), ("N1", "c"), ("N2", "a"), ("N2", " "), ("N9", "d"), (None, "e")]
+    conditions = [("N1", "x"), ("N1", "y"), ("N2", "z"), ("N2", None), ("N3", "x"), ("N9", "x")]
+    interventions = spark.createDataFrame(drugs, "nct_id string, name string")
+    conditions = spark.createDataFrame(conditions, "nct_id string, name string")
+    trial = facts.trial_fact(studies, interventions, conditions).select("drug_sk", "condition_sk")
+    names = [(d, c, 1) for d in "ABDE" for c in "XYZW"]
+    reported = spark.createDataFrame(names, "d string, c string, n_reports long")
+    reported = reported.select(surrogate_key("d").alias("drug_sk"), surrogate_key("c").alias("condition_sk"), "n_reports")
+    studied = facts.studied_pairs(studies, interventions, conditions, reported, large)
+    wanted = {tuple(r) for r in reported.select("drug_sk", "condition_sk").collect()}
+    expected = {tuple(r) for r in trial.collect()} & wanted
+    assert len(expected) == 5
+    rows = [tuple(r) for r in studied.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) & wanted == expected
+    left = measures.unstudied(reported, studied)
+    assert {(r.drug_sk, r.condition_sk) for r in left.collect()} == wanted - expected

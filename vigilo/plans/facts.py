@@ -21,6 +21,8 @@ Measures that only sum events or count reports do not need the product:
 ``report_summary`` (a row per report) and ``report_drugs`` (a row per report
 and drug) hold the same columns with the product's size in ``event_count``,
 and ``trial_drugs`` is the trial fact without its conditions.
+``report_conditions`` and ``studied_pairs`` tell which (drug, condition) pairs
+are reported and which of them are studied, without either product.
 
 Surrogate keys are computed from the natural keys (see ``functions.keys``);
 a dimension built from the same silver tables holds every key, so the
@@ -132,9 +134,12 @@ def _report_drugs(silver_drug: DataFrame, dims: Mapping[str, DataFrame] | None)
     return _lookup(drugs.distinct(), dims, "drug", "drug_key", "drug_sk", "inner").select(*REPORT_KEY, "drug_sk")
 
 
+def _reaction_rows(silver_reac: DataFrame) -> DataFrame:
+    return _keyed(silver_reac.select(*_report_key_cols(), canon("pt").alias("reaction_key")).filter(nonblank("reaction_key")))
+
+
 def _report_reactions(silver_reac: DataFrame, dims: Mapping[str, DataFrame] | None) -> DataFrame:
-    reactions = _keyed(silver_reac.select(*_report_key_cols(), canon("pt").alias("reaction_key")).filter(nonblank("reaction_key")))
-    return _lookup(reactions.distinct(), dims, "reaction", "reaction_key", "reaction_sk", "inner").select(*REPORT_KEY, "reaction_sk")
+    return _lookup(_reaction_rows(silver_reac).distinct(), dims, "reaction", "reaction_key", "reaction_sk", "inner").select(*REPORT_KEY, "reaction_sk")
 
 
 def _counted(rows: DataFrame, name: str) -> DataFrame:
@@ -197,6 +202,20 @@ def report_fact(
     return salt.unsalt(fact).select(*FACT_BASE_COLUMNS, *codes, ANY_SERIOUS, F.lit(1).alias("event_count"))
 
 
+def _trial_drug_rows(silver_interventions: DataFrame) -> DataFrame:
+    rows = silver_interventions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("drug_key"))
+    return rows.filter(nonblank("study_id") & nonblank("drug_key"))
+
+
+def _trial_condition_rows(silver_conditions: DataFrame) -> DataFrame:
+    rows = silver_conditions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("condition_key"))
+    return rows.filter(nonblank("study_id") & nonblank("condition_key"))
+
+
+def _study_rows(silver_studies: DataFrame) -> DataFrame:
+    return silver_studies.select(F.trim("nct_id").alias("study_id")).filter(nonblank("study_id"))
+
+
 def _trial_inputs(
     silver_studies: DataFrame,
     silver_interventions: DataFrame,
@@ -204,18 +223,10 @@ def _trial_inputs(
     dims: Mapping[str, DataFrame] | None,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drugs, conditions and surrogate key of the studies."""
-    trial_drugs = (
-        silver_interventions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("drug_key"))
-        .filter(nonblank("study_id") & nonblank("drug_key"))
-        .distinct()
-    )
+    trial_drugs = _trial_drug_rows(silver_interventions).distinct()
     trial_drugs = _lookup(trial_drugs, dims, "drug", "drug_key", "drug_sk", "inner").select("study_id", "drug_sk")
 
-    trial_conditions = (
-        silver_conditions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("condition_key"))
-        .filter(nonblank("study_id") & nonblank("condition_key"))
-        .distinct()
-    )
+    trial_conditions = _trial_condition_rows(silver_conditions).distinct()
     trial_conditions = _lookup(trial_conditions, dims, "condition", "condition_key", "condition_sk", "inner").select(
         "study_id", "condition_sk"
     )
@@ -223,12 +234,7 @@ def _trial_inputs(
     if dims is not None and "study" in dims:
         studies = dims["study"].select("study_id", "study_sk")
     else:
-        studies = (
-            silver_studies.select(F.trim("nct_id").alias("study_id"))
-            .filter(nonblank("study_id"))
-            .distinct()
-            .withColumn("study_sk", surrogate_key("study_id"))
-        )
+        studies = _study_rows(silver_studies).distinct().withColumn("study_sk", surrogate_key("study_id"))
     return trial_drugs, trial_conditions, studies
 
 
@@ -258,6 +264,50 @@ def trial_fact(
     return salt.unsalt(fact).select("study_sk", "drug_sk", "condition_sk", F.lit(1).alias("trial_mapping_count"))
 
 
+def report_conditions(silver_demo: DataFrame, silver_drug: DataFrame, silver_reac: DataFrame, silver_indi: DataFrame) -> DataFrame:
+    """(report, drug, condition) of the event fact: one row per report with an
+    indication, and drug.  Flags and profiles are not read."""
+    indi = _keyed(
+        silver_indi.select(*_report_key_cols(), canon("indi_pt").alias("condition_key")).filter(nonblank("condition_key"))
+    )
+    report = indi.groupBy(*REPORT_KEY).agg(F.min(surrogate_key("condition_key")).alias("condition_sk"))
+    for rows in (silver_demo.select(*_report_key_cols()), _reaction_rows(silver_reac).select(*REPORT_KEY)):
+        report = report.join(rows, REPORT_KEY, "left_semi")
+    return _report_drugs(silver_drug, None).join(report, REPORT_KEY)
+
+
+def studied_pairs(
+    silver_studies: DataFrame,
+    silver_interventions: DataFrame,
+    silver_conditions: DataFrame,
+    reported: DataFrame,
+    large: int = 2_000,
+) -> DataFrame:
+    """The (drug, condition) pairs of the trial fact that ``reported`` can meet.
+
+    A study with at most ``large`` drug rows and ``large`` condition rows gives
+    its pairs, at most ``large`` squared, combined map-side.  A larger study is
+    never multiplied out: a reported pair is in it if the study has the drug
+    and has the condition, so the pairs are joined to its drugs and then
+    semi-joined to its conditions.  Both ways are exact.
+    """
+    # Distinct rows are shuffled once; the counts and both ways read that
+    # shuffle.  A key of a nonblank name is never null: said here, it is the
+    # same filter in every branch, and none of them infers one of its own.
+    drugs, conditions, studies = _trial_inputs(silver_studies, silver_interventions, silver_conditions, None)
+    drugs, conditions = drugs.filter(F.col("drug_sk").isNotNull()), conditions.filter(F.col("condition_sk").isNotNull())
+    drugs = drugs.join(studies.select(*STUDY_KEY), STUDY_KEY)
+    many = [side.groupBy(*STUDY_KEY).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large) for side in (drugs, conditions)]
+    big = many[0].unionByName(many[1]).groupBy(*STUDY_KEY).agg(F.max("n").alias("big"))
+
+    pair = ["drug_sk", "condition_sk"]
+    drugs = drugs.join(big, STUDY_KEY, "left")
+    small = drugs.filter(F.col("big").isNull()).join(conditions, STUDY_KEY).select(*pair)
+    wanted = drugs.filter(F.col("big").isNotNull()).join(reported.select(*pair), "drug_sk")
+    inside = wanted.join(conditions, [*STUDY_KEY, "condition_sk"], "left_semi").select(*pair)
+    return small.unionByName(inside).distinct()
+
+
 def unresolved_keys(
     silver_demo: DataFrame,
     silver_drug: DataFrame,

@@ -68,3 +68,11 @@ def report_drugs(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OU
 
 def trial_drugs(s: Mapping[str, DataFrame]) -> DataFrame:
     return facts.trial_drugs(s["aact_studies"], s["aact_interventions"], s["aact_conditions"])
+
+
+def report_conditions(s: Mapping[str, DataFrame]) -> DataFrame:
+    return facts.report_conditions(s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"])
+
+
+def studied_pairs(s: Mapping[str, DataFrame], reported: DataFrame) -> DataFrame:
+    return facts.studied_pairs(s["aact_studies"], s["aact_interventions"], s["aact_conditions"], reported)
