@@ -348,6 +348,34 @@ def test_split_quotas_are_exact(spark):
     assert by_source == {"a": 40, "b": 25, "": 7} and set(by_shard.values()) == {9}
 
 
+def test_split_quotas_spread_as_random_draws(spark):
+    """Left shares of 300 equal sources: mean and variance of a hypergeometric count."""
+    from vigilo.llm.mixing import split_quotas
+
+    quotas = spark.createDataFrame([(False, f"s{i:03}", 50) for i in range(300)], "no_source boolean, source_key string, n bigint")
+    left = [r.n for r in split_quotas(quotas, 1, 5).filter("shard = 0").collect()]
+    assert sum(left) == 7_500 and len(left) == 300
+    variance = sum((n - 25) ** 2 for n in left) / 300  # expected 12.5 * (15000 - 50) / 14999
+    assert 9 < variance < 16
+    assert split_quotas(quotas.filter("n < 0"), 2, 5).count() == 0
+
+
+def test_mixing_tells_rows_without_an_id_apart(spark):
+    """Rows without an id, alike or not, beside rows with ids: both sources meet
+    their targets, within a document of 10 words."""
+    from vigilo.llm.mixing import mix, mix_counts
+
+    same, ten = "a b c d e f g h i j", "a b c d e f g h i "
+    for first in ([(None, same, "x")] * 3_000, [(None, ten + str(i), "x") for i in range(3_000)]):
+        rows = first + [(i, ten + str(i), "y") for i in range(3_000)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+        # sizes 30,000 each: targets 20,000 and 40,000
+        got = mix_counts(docs, block_docs=64).groupBy((F.col("target") < 30_000).alias("x")).agg(F.sum("taken").alias("taken"), F.count("*").alias("n"))
+        assert {(r.x, r.taken, r.n) for r in got.collect()} == {(True, 20_000, 3_000), (False, 40_000, 3_000)}
+        mixed = mix(docs, block_docs=64).groupBy("source").count().collect()
+        assert {tuple(r) for r in mixed} == {("x", 2_000), ("y", 4_000)}
+
+
 # ------------------------------------------------------------------ lines
 
 

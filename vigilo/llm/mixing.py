@@ -7,14 +7,18 @@ splitting tree.  DataFrame functions only.
     That fixed point is ``min(cap, level * weight)``, and the level follows
     from prefix sums over the sources sorted by ``cap / weight``.
 2.  Blocks.  A document belongs to a block of its source by a hash of its id,
-    about ``block_docs`` documents each.  A source whose target is ``r`` times
+    its text and its number among rows equal in these, about ``block_docs``
+    documents each, whatever ids or texts repeat.  A source whose target is ``r`` times
     its size gives each block ``floor(r)`` times, and once more the first
     blocks, in a hashed permutation, that fit in the rest.  The one block that
     fits in part gives its documents with the smallest hashes, up to ``cut``.
 3.  Tree.  A node holds the number of block draws of every source.  Half of
-    them go left: each draw in turn goes left with probability (places left) /
-    (draws left), which makes the left counts multivariate hypergeometric and
-    the totals exact.  ``levels`` levels give ``2 ** levels`` output shards.
+    them go left: the draws, a row each, are ranked by a hash of the level, and
+    the first half of the ranks is left, which makes the left counts of the
+    sources multivariate hypergeometric and the totals exact.  The rank that
+    parts the halves is found from counts of hash ranges and a sort inside one
+    range, so no task ranks a whole node.  ``levels`` levels give
+    ``2 ** levels`` output shards.
 4.  Draws.  The draws of a source, permuted by a hash, are dealt to the shards
     in runs as long as the shards' quotas, so every draw has one shard.
 5.  Rows.  A document's draws are those of its block; rows are laid out by
@@ -25,9 +29,10 @@ with the corpus (documents) is only scanned, pre-aggregated and joined with the
 block table; sources and blocks are what windows see.
 
 Defined results: a null or blank text has size 0 and is still drawn; a null
-source is a source; rows with equal ids stay together, so they are all drawn
-equally often; a source of size 0 has target 0; an empty table gives an empty
-result; other columns are carried and may have any name.
+source is a source; rows without an id, with one id or wholly alike are drawn
+each by itself, and rows equal in id, source and text may stand for one another;
+a source of size 0 has target 0; an empty table gives an empty result; other
+columns are carried and may have any name.
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ WEIGHTS = (1, 2, 3)
 MULTIPLE = 3
 BLOCK_DOCS = 1024
 LEVELS = 4
+#: Draws made from one row, and draws of one hash range, of the splitting tree.
+RUN = 4096
+RANGE = 1024
 
 
 def word_count(text: str | Column) -> Column:
@@ -75,17 +83,41 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, multiple: int = MULTIPLE)
 
 
 def _block(n_blocks: str, seed: int) -> Column:
-    return F.pmod(uniform_hash(seed, "doc_id", *KEY), F.col(n_blocks))
+    return F.pmod(uniform_hash(seed, "alike", "nth"), F.col(n_blocks))
 
 
 def _pick(seed: int) -> Column:
-    return uniform_hash(seed + 1, "doc_id")
+    return uniform_hash(seed + 1, "alike", "nth")
+
+
+def _alike() -> Column:
+    """Equal for rows of one id, source and text; made in the order of these names."""
+    return uniform_hash("doc_id", "text", *_key()).alias("alike")
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows with ``alike`` and ``part`` (any split of them, fixed in a table)
+    and ``nth`` in place of ``part``: 0, 1, ... among the rows of one
+    ``alike``, counted inside each part and then by the parts before."""
+    parts = rows.groupBy("alike", "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("alike").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("alike", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = F.row_number().over(Window.partitionBy("alike", "part").orderBy("alike")) - 1
+    rows = rows.withColumn("inside", inside).join(parts, ["alike", "part"])
+    return rows.withColumn("nth", (F.col("inside") + F.col("base")).cast("long")).drop("inside", "base", "part")
+
+
+def _told_apart(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Rows with ``alike`` and their ``nth``; only repeated ones are shuffled."""
+    alone = rows.join(repeated, "alike", "left_anti").drop("part").withColumn("nth", F.lit(0).cast("long"))
+    copies = stored(rows.join(repeated, "alike", "left_semi"), "mix-copies")
+    return alone.unionByName(numbered(copies))
 
 
 def block_draws(sized: DataFrame, targets: DataFrame, block_docs: int, seed: int) -> DataFrame:
     """One row per block: ``base`` full draws, whether there is one ``more``, and
     the hashes of the documents that one takes (``picks``; null: all)."""
-    placed = sized.select("doc_id", "size", *_key()).join(targets, KEY).withColumn("block", _block("n_blocks", seed))
+    placed = sized.select("alike", "nth", "size", *_key()).join(targets, KEY).withColumn("block", _block("n_blocks", seed))
     blocks = placed.groupBy(*KEY, "block").agg(F.sum("size").alias("block_size"))
     blocks = blocks.join(targets, KEY)
     base = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("int")
@@ -119,39 +151,34 @@ def block_draws(sized: DataFrame, targets: DataFrame, block_docs: int, seed: int
 
 def split_quotas(quotas: DataFrame, levels: int, seed: int) -> DataFrame:
     """(shard, no_source, source_key, n) from (no_source, source_key, n): the
-    splitting tree over one row per node."""
-    node = quotas.groupBy().agg(F.array_sort(F.collect_list(F.struct(*KEY, F.col("n").cast("long").alias("n")))).alias("quotas"))
-    node = node.withColumn("node", F.lit(0).cast("long"))
-
-    def half(level: int) -> Column:
-        total = F.aggregate("quotas", F.lit(0).cast("long"), lambda a, q: a + q["n"])
-        start = F.struct(total.alias("draws"), F.ceil(total / 2).cast("long").alias("places"), F.array().cast("array<bigint>").alias("left"))
-
-        def source(state: Column, q: Column) -> Column:
-            each = F.when(q["n"] > 0, F.sequence(F.lit(1).cast("long"), q["n"])).otherwise(F.array().cast("array<bigint>"))
-
-            def draw(s: Column, j: Column) -> Column:
-                u = F.pmod(F.xxhash64(F.lit(seed), F.lit(level), F.col("node"), q["no_source"], q["source_key"], j), F.lit(1 << 52)) / float(1 << 52)
-                goes = F.when(u * s["draws"] < s["places"], F.lit(1)).otherwise(F.lit(0)).cast("long")
-                return F.struct((s["draws"] - 1).alias("draws"), (s["places"] - goes).alias("places"), (s["n"] + goes).alias("n"))
-
-            done = F.aggregate(each, F.struct(state["draws"], state["places"], F.lit(0).cast("long").alias("n")), draw)
-            return F.struct(done["draws"].alias("draws"), done["places"].alias("places"), F.concat(state["left"], F.array(done["n"])).alias("left"))
-
-        return F.aggregate("quotas", start, source, lambda s: s["left"])
-
-    def kept(side: int):
-        def quota(q: Column, n: Column) -> Column:
-            mine = q["n"] - n if side else n
-            return F.struct(q["no_source"].alias("no_source"), q["source_key"].alias("source_key"), mine.alias("n"))
-
-        return F.zip_with("quotas", "left", quota)
-
+    splitting tree, a row per draw and level; shares of 0 have no row."""
+    last = F.floor((F.col("n") - 1) / RUN)
+    runs = quotas.filter("n > 0").select(*KEY, "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("run"))
+    one = F.sequence(F.col("run") * RUN + 1, F.least(F.col("n"), (F.col("run") + 1) * RUN))
+    draws = runs.repartition("source_key", "run").select(*KEY, F.explode(one).alias("draw"), F.lit(0).cast("long").alias("node"))
+    draws = stored(draws, "mix-tree")
     for level in range(levels):
-        node = node.withColumn("left", half(level))
-        sides = [F.struct((F.col("node") * 2 + side).alias("node"), kept(side).alias("quotas")) for side in (0, 1)]
-        node = node.select(F.explode(F.array(*sides)).alias("side")).select("side.*")
-    return node.select(F.col("node").alias("shard"), F.explode("quotas").alias("q")).select("shard", "q.*")
+        draws = stored(_halved(draws, uniform_hash(seed, level, *KEY, "draw")), "mix-tree")
+    return draws.groupBy(F.col("node").alias("shard"), *KEY).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _halved(draws: DataFrame, hashed: Column) -> DataFrame:
+    """Every node's draws moved to its two children, the larger half (in hashed
+    order) left."""
+    place = F.struct(F.shiftrightunsigned(hashed, 1).alias("u"), *KEY, "draw")
+    nodes = draws.groupBy("node").agg(F.count(F.lit(1)).alias("total"))
+    nodes = nodes.withColumn("places", F.ceil(F.col("total") / 2)).withColumn("ranges", F.ceil(F.col("total") / RANGE))
+    nth = F.least(F.floor(F.col("place.u") / float(1 << 63) * F.col("ranges")), F.col("ranges") - 1)
+    ranged = draws.withColumn("place", place).join(nodes, "node").withColumn("range", nth)
+    counts = ranged.groupBy("node", "range", "places").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("node").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("rest", F.col("places") - F.coalesce(F.sum("n").over(before), F.lit(0)))
+    edge = counts.filter((F.col("rest") > 0) & (F.col("rest") <= F.col("n"))).select("node", "range", F.col("rest").cast("int").alias("rest"))
+    # about RANGE draws, as the ranges are those of a hash
+    cut = ranged.join(edge, ["node", "range"]).groupBy("node", "range", "rest").agg(F.sort_array(F.collect_list("place")).alias("places"))
+    cut = cut.select("node", F.col("range").alias("edge"), F.element_at("places", F.col("rest")).alias("cut"))
+    left = (F.col("range") < F.col("edge")) | ((F.col("range") == F.col("edge")) & (F.col("place") <= F.col("cut")))
+    return ranged.join(cut, "node").select(*KEY, "draw", (F.col("node") * 2 + F.when(left, 0).otherwise(1)).alias("node"))
 
 
 def mix_plan(sized: DataFrame, weights=WEIGHTS, multiple: int = MULTIPLE, block_docs: int = BLOCK_DOCS, levels: int = LEVELS, seed: int = 8) -> tuple[DataFrame, DataFrame]:
@@ -179,16 +206,20 @@ def _with_draws(docs: DataFrame, targets: DataFrame, plan: DataFrame, seed: int,
     return placed.withColumn("draws", mine)
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of documents, written once: later steps do not read texts."""
-    return stored(docs.select("doc_id", "source", word_count("text").alias("size")), "mix-sized")
+def measured(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, source, size, alike, nth) of documents, written once so that
+    later steps do not read texts, and the ``alike`` of repeated rows."""
+    part = F.spark_partition_id().alias("part")
+    sized = stored(docs.select("doc_id", "source", word_count("text").alias("size"), _alike(), part), "mix-sized")
+    repeated = stored(sized.groupBy("alike").count().filter("count > 1").select("alike"), "mix-repeated")
+    return stored(_told_apart(sized, repeated), "mix-numbered"), repeated
 
 
 def mix_counts(docs: DataFrame, seed: int = 8, **options) -> DataFrame:
     """doc_id, size, source_size, target, copies, shards, taken of every document."""
-    sized = measured(docs)
+    sized, _ = measured(docs)
     targets, plan = mix_plan(sized, seed=seed, **options)
-    rows = _with_draws(sized.select("doc_id", "size", *_key()), targets, plan, seed, "left")
+    rows = _with_draws(sized.select("doc_id", "alike", "nth", "size", *_key()), targets, plan, seed, "left")
     copies = F.size("draws")
     return rows.select("doc_id", "size", "source_size", "target", copies.alias("copies"), F.col("draws.shard").alias("shards"), (copies * F.col("size")).cast("long").alias("taken"))
 
@@ -196,10 +227,12 @@ def mix_counts(docs: DataFrame, seed: int = 8, **options) -> DataFrame:
 def mix(docs: DataFrame, seed: int = 8, with_shard: bool = False, **options) -> DataFrame:
     """The rows of the mix: a document as often as it is drawn, all its columns,
     laid out by output shard and in hashed order inside a shard."""
-    targets, plan = mix_plan(measured(docs), seed=seed, **options)
-    rows = docs.select(F.struct("*").alias("row"), "doc_id", *_key())
-    rows = _with_draws(rows, targets, plan, seed, "inner").select("row", "doc_id", F.explode("draws").alias("d"))
-    rows = rows.select("row", F.col("d.shard").alias("shard"), F.pmod(uniform_hash(seed + 5, "doc_id", "d.copy"), F.lit(1 << 40)).alias("place"))
+    sized, repeated = measured(docs)
+    targets, plan = mix_plan(sized, seed=seed, **options)
+    rows = docs.select(F.struct("*").alias("row"), *_key(), _alike(), F.spark_partition_id().alias("part"))
+    rows = _with_draws(_told_apart(rows, repeated), targets, plan, seed, "inner").select("row", "alike", "nth", F.explode("draws").alias("d"))
+    place = F.pmod(uniform_hash(seed + 5, "alike", "nth", "d.copy"), F.lit(1 << 40))
+    rows = rows.select("row", F.col("d.shard").alias("shard"), place.alias("place"))
     # a shard is laid out in 16 slices of its hashed order, so that no task holds a whole shard
     rows = rows.repartition("shard", F.shiftright("place", 36)).sortWithinPartitions("shard", "place")
     return rows.select("row.*", "shard") if with_shard else rows.select("row.*")
