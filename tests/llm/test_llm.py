@@ -240,6 +240,22 @@ def test_encoder_equals_the_tokenizer():
         assert e(s.encode()) == np.asarray(t.encode(s, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
 
+def test_encoder_columns(monkeypatch):
+    """Runs of texts: every letter beside a word, nulls, white space, a border inside a text."""
+    import pyarrow as pa
+
+    from vigilo.llm import tokens
+
+    e = tokens.encoder(tokenizer())
+    monkeypatch.setattr(tokens, "RUN", 5_000)
+    texts = [None, "", " \x0b ", "a\tb\x0bc\x0cd\r\n", "x" * 20_000, "The END, the end.\n(the) end***"] * 2
+    texts += [f"Ab{chr(c)} {chr(c)}Cd{chr(c)}!?" for c in [*range(0x600), *range(0x1E00, 0x2200)]]
+    got = []
+    for offsets, ids in e.column(pa.array(texts), 2):
+        got += [ids[a:b].tolist() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    assert got == [e.tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
 def test_token_files(spark, docs, rows, tmp_path):
     import pyarrow.parquet as pq
 

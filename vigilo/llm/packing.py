@@ -124,14 +124,15 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID, c
 
         from vigilo.llm.tokens import encoder
 
-        encode, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        encode = encoder(tokenizer_path)
         first = TaskContext.get().partitionId() << 40
 
         def documents():
             for batch in batches:
-                ids = batch.column(0).to_pylist()
-                for doc, text in zip(ids, batch.column(1).cast(pa.large_binary())):
-                    yield doc, encode(text.as_py()) + end
+                docs = iter(batch.column(0).to_pylist())
+                for offsets, ids in encode.column(batch.column(1), end_id):
+                    for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                        yield next(docs), ids[a:b].tobytes()
 
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
         rows, held = [], 0

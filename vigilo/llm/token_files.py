@@ -41,22 +41,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID)
 
         from vigilo.llm.tokens import encoder
 
-        encode, end = encoder(tokenizer_path), np.array([end_id], dtype="<u4").tobytes()
+        encode = encoder(tokenizer_path)
         for batch in batches:
-            # a few MB of text at a time, so that a batch of long texts stays small
-            texts = batch.column(1).cast(pa.large_binary())
             at = 0
-            while at < batch.num_rows:
-                took, size = [], 0
-                while at + len(took) < batch.num_rows and size < 8 << 20:
-                    ids = encode(texts[at + len(took)].as_py()) + end
-                    took.append(ids)
-                    size += len(ids)
-                counts = np.array([len(x) // 4 for x in took], dtype=np.int64)
-                offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(took), dtype="<i4")))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(took)), pa.array(counts), ids], names=["doc_id", "n_tokens", "ids"])
-                at += len(took)
+            for offsets, flat in encode.column(batch.column(1), end_id):  # a few MB of text at a time
+                n = len(offsets) - 1
+                ids = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view("<i4")))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(np.diff(offsets)), ids], names=["doc_id", "n_tokens", "ids"])
+                at += n
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return ship(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids array<int>")

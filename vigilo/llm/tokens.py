@@ -1,29 +1,34 @@
 """Token ids of whole texts by a public tokenizer, for Arrow batches.
 
 The tokenizer drops white space and cuts words at it, so a text's ids are the
-ids of its white-space-free pieces one after the other.  It lower-cases, and it
-cuts between a letter or digit and the punctuation after it, so a piece of
-Latin letters and closing punctuation has the ids of its lower-case word and
-then those of the punctuation.  Words go to the same merges in tiktoken, with a
-byte that stands for the end of a word (``word_merges``); all
-other pieces go through the whole tokenizer, many in one call, with a NUL
-between them (whose one id marks the borders).  Pieces and words are remembered
-up to a bound, as most of them return soon.  Ids are handled as little-endian
-unsigned 32-bit bytes.
+ids of its white-space-free pieces one after the other.  A run of texts is split
+in Arrow and its pieces are dictionary-encoded; only distinct pieces are looked
+up, and the texts' ids are gathered from theirs by offsets.
+
+The tokenizer lower-cases, and it cuts between a letter and the punctuation
+after it, so a piece of Latin letters and closing ASCII punctuation has the ids
+of its lower-case word and then those of the punctuation.  Both go to the same
+merges in tiktoken, with a byte that stands for the end of a word
+(``word_merges``).  All other pieces go through the whole tokenizer, many in one
+call, with a NUL between them (whose one id marks the borders); these are
+remembered up to a bound, as most of them return soon.
 """
 
 from __future__ import annotations
 
-import gc
 import os
+import re
+from collections.abc import Iterator
 
-#: Pieces and words remembered by one Python worker, and the longest of them in bytes.
-REMEMBERED = 300_000
+#: Pieces remembered by one Python worker, and the longest of them in characters.
+REMEMBERED = 200_000
 LONGEST = 48
+#: Bytes of text whose pieces are looked up together.
+RUN = 8 << 20
 
-_CLOSING = ".,;:!?"
-#: Letters below are their own NFC form; U+0130 has a lower case of two letters.
-_LATIN_END, _DOTTED = "ɐ", "İ"
+#: A piece, lower-cased, of Latin letters (each its own NFC form) and ASCII
+#: punctuation after them; any other piece has two empty groups.
+_SIMPLE = re.compile(r"^(?:([a-zß-öø-ɏ]+)([!-/:-@\[-`{-~]*)|.*)$", re.M)
 
 
 def byte_letters() -> dict[int, int]:
@@ -39,10 +44,10 @@ WORD_END = "\0"
 
 
 def word_merges(path: str):
-    """A tiktoken encoding of the merges of a vocabulary with word ends, and
-    of each of its ranks the id and whether it ends a word; ``None`` for a
-    vocabulary of another kind.  Ranks: bytes, bytes that end a word (which so
-    are joined first), merges."""
+    """A tiktoken encoding of the merges of a vocabulary with word ends, the id
+    of each of its ranks, and the rank of the line break between pieces;
+    ``None`` for a vocabulary of another kind.  Ranks: bytes, bytes that end a
+    word (which so are joined first), merges."""
     import json
 
     import tiktoken
@@ -65,113 +70,121 @@ def word_merges(path: str):
     for token in [*letters.values(), *[x + suffix for x in letters.values()], *["".join(m) for m in merges]]:
         if ranks.setdefault(raw(token), len(ids)) == len(ids):
             ids.append(vocabulary[token])
-    ends = [raw_token.endswith(end) for raw_token in ranks]
-    return tiktoken.Encoding(os.path.basename(path), pat_str=r"[^\x00]*\x00", mergeable_ranks=ranks, special_tokens={}), ids, ends
+    fast = tiktoken.Encoding(os.path.basename(path), pat_str=r"[^\x00\n]+\x00|\n", mergeable_ranks=ranks, special_tokens={})
+    return fast, ids, ranks[b"\n"]
 
 
-def latin_word(piece: str) -> tuple[str, str] | None:
-    """(lower-case word, closing punctuation) of a piece, if it is such."""
-    word = piece.rstrip(_CLOSING)
-    if not word.isalpha() or (not word.isascii() and (max(word) >= _LATIN_END or _DOTTED in word)):
-        return None
-    return word.lower(), piece[len(word) :]
-
-
-_PROBE = ("a", "word", "wörter.", "élève,", "CAFÉ!", "řeč", "straße?!", "Don", "x...")
+_PROBE = ("a", "word", "wörter.", "élève,", "CAFÉ!", "řeč", "straße?!", "Don", "x...", "y(")
 
 
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
+        import pyarrow as pa
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.closing: dict[str, bytes] = {"": b""}
+        self.known: dict[str, object] = {}
         border = self.tokenizer.encode("\0", add_special_tokens=False).ids
         self.border = border[0] if len(border) == 1 else None
         merges = word_merges(path)
         self.direct = merges is not None
         if merges:
-            import numpy as np
-
-            self.merges, by_rank, ends = merges
-            self.by_rank, self.ends = np.array(by_rank, dtype="<u4"), np.array(ends)
-            self.direct = all(self._encode({p.encode()})[0][p.encode()] == self._whole(p) for p in _PROBE)
+            self.merges, by_rank, self.line = merges
+            self.by_rank = np.array(by_rank, dtype="<u4")
+            start, length, ids = self._distinct(pa.array(_PROBE))
+            self.direct = all(ids[a : a + n].tolist() == self._whole(p).tolist() for p, a, n in zip(_PROBE, start, length))
 
-    def _whole(self, text: str) -> bytes:
+    def _whole(self, text: str):
         import numpy as np
 
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        """The ids of new Latin words, from one call."""
+    def _others(self, pieces: list[str]) -> list:
+        """The ids of pieces by the whole tokenizer."""
         import numpy as np
 
-        ranks = np.array(self.merges.encode_ordinary(WORD_END.join(words) + WORD_END), dtype=np.int64)
-        raw, at = self.by_rank[ranks].tobytes(), 0
-        for word, end in zip(words, (4 * (np.flatnonzero(self.ends[ranks]) + 1)).tolist()):
-            self.words[word] = raw[at:end]
-            at = end
-
-    def _closing(self, closing: str) -> bytes:
-        end = self.closing.get(closing)
-        if end is None:
-            end = self._whole(closing)
-            if len(closing) <= LONGEST and len(self.closing) < REMEMBERED:
-                self.closing[closing] = end
-        return end
-
-    def _encode(self, pieces: set[bytes]) -> tuple[dict[bytes, bytes], dict[bytes, bytes]]:
-        """The ids of new pieces: of those to remember, and of long ones."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        fresh = [p for p in pieces if p not in known]
+        joint = [p for p in fresh if self.border is not None and len(p) <= LONGEST and "\0" not in p]
+        found = {}
+        if joint:
+            ids = self._whole(" \0 ".join(joint))
+            ends = np.flatnonzero(ids == self.border).tolist()
+            if len(ends) == len(joint) - 1:  # else the border's id came from a piece as well
+                found = {p: ids[a:b].copy() for p, a, b in zip(joint, [0, *[e + 1 for e in ends]], [*ends, len(ids)])}
+        known.update(found)
+        found.update((p, self._whole(p)) for p in fresh if p not in found)
+        return [found[p] if p in found else known[p] for p in pieces]
+
+    def _distinct(self, pieces):
+        """(start, length, ids): where the ids of each piece of an Arrow array
+        lie in ``ids``."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        n = len(pieces)
+        start, length, ids = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(0, dtype="<u4")
+        rest = range(n)
+        if self.direct and n:
+            line = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pieces), "\n")[0].as_py()
+            parts = _SIMPLE.findall(line.lower())
+            marked = "".join([f"{w}\0{c}\0\n" if c else f"{w}\0\n" if w else "\n" for w, c in parts])
+            ranks = self.merges.encode_to_numpy(marked, disallowed_special=())
+            border = ranks == self.line
+            ends = np.flatnonzero(border) - np.arange(n)
+            length = np.diff(ends, prepend=0)
+            start, ids = ends - length, self.by_rank[ranks[~border]]
+            rest = [i for i, (w, _) in enumerate(parts) if not w]
+        if len(rest):
+            more = self._others(pieces.take(pa.array(rest, pa.int64())).to_pylist())
+            sizes = np.array([len(m) for m in more], dtype=np.int64)
+            start[rest], length[rest] = len(ids) + np.cumsum(sizes) - sizes, sizes
+            ids = np.concatenate([ids, *more])
+        return start, length, ids
+
+    def _run(self, texts, end_id: int | None):
+        import numpy as np
+        import pyarrow.compute as pc
+
+        lists = pc.ascii_split_whitespace(texts)
+        counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        start, length, ids = self._distinct(coded.dictionary)
+        codes = coded.indices.to_numpy()
+        if end_id is not None:  # one piece more a text
+            codes = np.insert(codes, np.cumsum(counts), len(start))
+            start, length, ids, counts = np.append(start, len(ids)), np.append(length, 1), np.append(ids, np.array(end_id, dtype="<u4")), counts + 1
+        sizes = length[codes]
+        ends = np.cumsum(sizes)
+        out = ids[np.repeat(start[codes] - (ends - sizes), sizes) + np.arange(sizes.sum())]
+        return np.append(0, ends)[np.append(0, np.cumsum(counts))], out
+
+    def column(self, texts, end_id: int | None = None) -> Iterator[tuple]:
+        """(offsets, ids) of runs of texts of an Arrow column, about ``RUN``
+        bytes each: text i of a run has ids[offsets[i]:offsets[i + 1]], little-endian
+        unsigned 32-bit integers, ``end_id`` last.  A null text has no others."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        if len(self.words) > REMEMBERED:
-            self.words.clear()
-        latin, closed, joint, own = {}, [], [], []
-        for p in pieces:
-            text = p.decode("utf-8")
-            if len(p) > LONGEST:
-                own.append((p, text))
-            elif self.direct and text.isascii() and text.isalpha():
-                latin[p] = text.lower()
-            elif self.direct and (word := latin_word(text)):
-                closed.append((p, *word))
-            else:
-                (joint if self.border is not None and "\0" not in text else own).append((p, text))
-        words = self.words
-        fresh = {*latin.values(), *[w for _, w, _ in closed]}.difference(words)
-        if fresh:
-            self._learn(list(fresh))
-        found = {p: words[w] for p, w in latin.items()}
-        for p, word, closing in closed:
-            found[p] = words[word] + self._closing(closing)
-        if joint:
-            raw = self._whole(" \0 ".join([t for _, t in joint]))
-            ends = [4 * int(c) for c in np.flatnonzero(np.frombuffer(raw, dtype="<u4") == self.border)]
-            if len(ends) == len(joint) - 1:
-                start = 0
-                for (p, _), end in zip(joint, [*ends, len(raw)]):
-                    found[p] = raw[start:end]
-                    start = end + 4
-            else:  # the border's id came from a piece as well
-                own += joint
-        return found, {p: self._whole(t) for p, t in own}
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + RUN, side="right")))
+            yield self._run(texts.slice(at, stop - at), end_id)
+            at = stop
 
     def __call__(self, text: bytes | None) -> bytes:
-        """The ids of a UTF-8 text; of null, none."""
-        pieces = text.split() if text else []
-        known = self.pieces
-        ids = list(map(known.get, pieces))
-        if None in ids:
-            fresh, alone = self._encode({p for p, i in zip(pieces, ids) if i is None})
-            if len(known) > REMEMBERED:
-                known.clear()
-            known.update(fresh)
-            fresh.update(alone)
-            ids = [fresh[p] if i is None else i for p, i in zip(pieces, ids)]
-        return b"".join(ids)
+        """The ids of one UTF-8 text."""
+        import pyarrow as pa
+
+        return next(self.column(pa.array([text], pa.large_binary())))[1].tobytes()
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -180,7 +193,5 @@ _ENCODERS: dict[str, Encoder] = {}
 def encoder(path: str) -> Encoder:
     """This worker's encoder of a tokenizer file."""
     if path not in _ENCODERS:
-        # encoding makes many small objects and no cycles: look for cycles rarely
-        gc.set_threshold(200_000, 20, 20)
         _ENCODERS[path] = Encoder(path)
     return _ENCODERS[path]
