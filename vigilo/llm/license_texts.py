@@ -1,4 +1,6 @@
-"""License templates: public texts and one-line notices."""
+"""License templates: whole public texts of short licenses, the headers that
+files under long ones carry, and one-line notices; ``REQUIRED`` lists the words
+that tell a template from those of other names and versions."""
 
 # The licenses' own words.
 NOTICES = {
@@ -9,9 +11,36 @@ NOTICES = {
     "gpl-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "mit notice": "Released under the MIT License.",
+    "bsd notice": "Released under the BSD License.",
+    "gpl-2.0 notice": "This work is licensed under the GNU General Public License, version 2.",
+    "cc-by-nd-4.0 notice": "Licensed under CC BY-ND 4.0.",
+    "cc-by-nc-sa-4.0 notice": "Licensed under CC BY-NC-SA 4.0.",
+    "cc-by-nc-nd-4.0 notice": "Licensed under CC BY-NC-ND 4.0.",
     "mpl-2.0 notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
 }
 
+_BSD_OPENING = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+_BSD_TWO = (
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_DISCLAIMER = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, '
+    "INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE "
+    "DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, "
+    "SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR "
+    "SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, "
+    "WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE "
+    "OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_GNU = (
+    "This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the {name} as published "
+    "by the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This "
+    "{work} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty "
+    "of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the {name} for more details."
+)
+
 TEXTS = {
     "mit": (
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
@@ -34,12 +63,48 @@ TEXTS = {
         "IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR "
         "PERFORMANCE OF THIS SOFTWARE."
     ),
-    "bsd-2-clause": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list "
-        "of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
-        "notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided "
-        "with the distribution."
+    "0bsd": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        'granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+        "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY "
+        "SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR "
+        "PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION "
+        "WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "bsd-2-clause": _BSD_OPENING + _BSD_TWO + _BSD_DISCLAIMER,
+    "bsd-3-clause": (
+        _BSD_OPENING + _BSD_TWO + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+        "promote products derived from this software without specific prior written permission. " + _BSD_DISCLAIMER
+    ),
+    "bsd-4-clause": (
+        _BSD_OPENING + _BSD_TWO + "3. All advertising materials mentioning features or use of this software must display the following "
+        "acknowledgement: This product includes software developed by the copyright holder. 4. Neither the name of the "
+        "copyright holder nor the names of its contributors may be used to endorse or promote products derived from this "
+        "software without specific prior written permission. " + _BSD_DISCLAIMER
+    ),
+    "zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+        "liable for any damages arising from the use of this software. Permission is granted to anyone to use this software "
+        "for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the "
+        "following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation "
+        "would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not "
+        "be misrepresented as being the original software. 3. This notice may not be removed or altered from any source "
+        "distribution."
+    ),
+    "bsl-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        'accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, '
+        "execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties "
+        "to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software "
+        "and this entire statement, including the above license grant, this restriction and the following disclaimer, must "
+        "be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless "
+        "such copies or derivative works are solely in the form of machine-executable object code generated by a source "
+        'language processor. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING '
+        "BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. "
+        "IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE "
+        "USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
     "apache-2.0 header": (
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance '
@@ -48,18 +113,50 @@ TEXTS = {
         '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
         "specific language governing permissions and limitations under the License."
     ),
-    "gpl-3.0 header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public "
-        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any "
-        "later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
-        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public "
-        "License for more details."
-    ),
+    "gpl-2.0 header": _GNU.format(work="program", mark=";", name="GNU General Public License", version="2"),
+    "gpl-3.0 header": _GNU.format(work="program", mark=":", name="GNU General Public License", version="3"),
+    "lgpl-2.1 header": _GNU.format(work="library", mark=";", name="GNU Lesser General Public License", version="2.1"),
+    "lgpl-3.0 header": _GNU.format(work="library", mark=":", name="GNU Lesser General Public License", version="3"),
+    "agpl-3.0 header": _GNU.format(work="program", mark=":", name="GNU Affero General Public License", version="3"),
     "unlicense": (
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, "
         "use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any "
-        "purpose, commercial or non-commercial, and by any means."
+        "purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author "
+        "or authors of this software dedicate any and all copyright interest in the software to the public domain. We make "
+        "this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend "
+        "this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this "
+        'software under copyright law. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, '
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN "
+        "ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>"
     ),
 }
 
 TEMPLATES = NOTICES | TEXTS
+
+# Of each listed phrase one of its spellings must stand, unbroken, in a match.
+_V2, _V21, _V3 = ("version 2", "version 2.0", "v2", "v. 2.0"), ("version 2.1",), ("version 3", "version 3.0", "v3")
+REQUIRED = {
+    "cc-by-nc-4.0 notice": [("CC BY-NC",), ("4.0",)],
+    "cc-by-4.0 notice": [("CC BY",), ("4.0",)],
+    "cc-by-sa-4.0 notice": [("CC BY-SA",), ("4.0",)],
+    "cc-by-nd-4.0 notice": [("CC BY-ND",), ("4.0",)],
+    "cc-by-nc-sa-4.0 notice": [("CC BY-NC-SA",), ("4.0",)],
+    "cc-by-nc-nd-4.0 notice": [("CC BY-NC-ND",), ("4.0",)],
+    "gpl-2.0 notice": [("GNU General Public License",), _V2],
+    "gpl-3.0 notice": [("GNU General Public License",), _V3],
+    "apache-2.0 notice": [("Apache License",), _V2],
+    "apache-2.0 header": [("Apache License",), _V2],
+    "mit notice": [("MIT License",)],
+    "bsd notice": [("BSD License",)],
+    "mpl-2.0 notice": [("Mozilla Public License",), _V2],
+    "isc": [("provided that", "copyright notice", "permission notice")],
+    "bsd-3-clause": [("endorse or promote", "names of its contributors", "products derived from")],
+    "bsd-4-clause": [("advertising materials", "mentioning features", "following acknowledgement")],
+    "gpl-2.0 header": [("GNU General Public License",), _V2],
+    "gpl-3.0 header": [("GNU General Public License",), _V3],
+    "lgpl-2.1 header": [("GNU Lesser General Public License",), _V21],
+    "lgpl-3.0 header": [("GNU Lesser General Public License",), _V3],
+    "agpl-3.0 header": [("GNU Affero General Public License",), _V3],
+}
