@@ -129,3 +129,33 @@ def test_many_tiny_documents_end(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert g.pack_groups(spark.createDataFrame([], SCHEMA), byte_tokenizer()).count() == 0
+
+
+def test_a_column_of_texts_has_the_ids_of_the_tokenizer_and_looks_words_up_once():
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from vigilo.llm.byte_level import ByteLevel
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [
+        "", None, " ", "a", " a", "a ", "a b", "a  b", "a \nb", "a\n b", "a\n\nb c\td", "a\xa0b \xa0c", "a \x85b", "a \x1cb c", "it's 's don't 've x 12 3.4 (y) -- z",
+        "Élève à l'école ß", "日本 語", "x <|endoftext|> y", "a <|endoftext|>", "w " * 3000 + "end", "\n", "\n a", "a b\r\nc d",
+    ]
+    encoder, plain = ByteLevel(path), Tokenizer.from_file(path)
+    found = [x.tolist() for x in encoder.column(pa.array(texts, pa.string()))]
+    assert found == [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in encoder.column(pa.array([], pa.string()))] == []
+
+    fast, seen = encoder.fast, []
+
+    class Counted:
+        def encode_ordinary(self, text):
+            seen.append(text)
+            return fast.encode_ordinary(text)
+
+    encoder.fast = Counted()
+    texts = ["a b a b a b a b"] * 5
+    assert [x.tolist() for x in encoder.column(pa.array(texts))] == [fast.encode_ordinary(t) for t in texts]
+    assert sum(map(len, seen)) <= len(" a b") + 5  # each word with its space, and the first of each text

@@ -181,8 +181,8 @@ def document_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID,
         names = ["doc", "doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         for batch in batches:
             cols, held = [[] for _ in names], 0
-            for doc, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                ids = np.append(encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            for doc, doc_id, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), encode.column(batch.column(2))):
+                ids = np.append(found, np.uint32(end_id)).astype("<u4")
                 starts = [0, *range(len(ids) % capacity or capacity, len(ids), capacity)]
                 for at, (a, b) in enumerate(zip(starts, [*starts[1:], len(ids)])):
                     for c, v in zip(cols, (doc, doc_id, at, a, b - a, zlib.crc32(ids[a:b].tobytes()), ids[a:b].astype(np.int32))):
