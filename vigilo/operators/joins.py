@@ -15,6 +15,10 @@ key to one task.  ``SaltPlan`` splits such keys over a grid of tasks:
   splits, a right row to ``hash(row) mod q`` and copied to all ``p``; each
   (key, i, j) cell joins its share and every pair meets in exactly one cell.
 
+A hot key has more rows than the square root of that bound on one side.  Keys
+that do are found first, behind a shuffle of their own: where there are none,
+AQE sees it empty and drops the joins that look the splits up, with their sorts.
+
 Nothing runs while a plan is built: the hot keys are a DataFrame, without a
 limit on their number or on the splits, and part of the one query.  They carry
 no broadcast hint, as their number grows with the data: AQE broadcasts them
@@ -61,7 +65,11 @@ class SaltPlan:
         most = spec.pairs_per_cell
         edge = max(1, int(most**0.5))
         a, b = F.col("_a").cast("double"), F.col("_b").cast("double")
-        counts = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_a")).join(right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b")), list(keys))
+        counts_a, counts_b = left.groupBy(*keys).agg(F.count(F.lit(1)).alias("_a")), right.groupBy(*keys).agg(F.count(F.lit(1)).alias("_b"))
+        large = counts_a.filter(F.col("_a") > edge).select(*keys).unionByName(counts_b.filter(F.col("_b") > edge).select(*keys))
+        # by a hash: a repartition by the keys, as the union has it, would be dropped
+        large = large.repartition(F.xxhash64(*keys)).distinct()
+        counts = large.join(counts_a, list(keys)).join(counts_b, list(keys))
         less, more = F.least(a, b), F.greatest(a, b)
         few = F.ceil(less / edge)
         many = F.ceil(more * F.ceil(less / few) / most)
