@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vigilo.functions import (
     canon,
+    canon_nonblank,
     composite_key,
     date_key,
     date_precision,
@@ -68,3 +69,11 @@ def test_composite_key_defaults_blank_and_null(spark):
     )
     got = [r[0] for r in df.select(composite_key("sex", "age", "rep", "occ")).collect()]
     assert got == ["UNK|YR|US|US", "UNK|YR|US|US", "F|UNK|UNK|DE X"]
+
+
+def test_a_blank_key_is_known_without_building_it(spark):
+    texts = [None, "", " ", "\t", " \n ", "\x0b\f\r", "a", "  a \t b ", "\x85", "ß"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select(F.coalesce(canon_nonblank("t"), F.lit(False)), F.coalesce(nonblank(canon("t")), F.lit(False)), canon("t")).collect()
+    assert [r[0] for r in found] == [r[1] for r in found] == [False] * 6 + [True] * 4
+    assert [r[2] for r in found] == [None, "", "", "", "", "", "A", "A B", "\x85", "SS"]

@@ -7,12 +7,12 @@ from vigilo.functions._col import col
 
 # The accepted date layouts, matched by shape before parsing.
 DATE_LAYOUTS = [
-    # (shape, Spark pattern, suffix appended before parsing, precision)
-    (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", "yyyy-MM-dd", "", "day"),
-    (r"^[0-9]{8}$", "yyyyMMdd", "", "day"),
-    (r"^[0-9]{4}-[0-9]{2}$", "yyyy-MM-dd", "-01", "month"),
-    (r"^[0-9]{6}$", "yyyyMMdd", "01", "month"),
-    (r"^[0-9]{4}$", "yyyyMMdd", "0101", "year"),
+    # (length, shape, pieces of the text, suffix appended before parsing, precision)
+    (10, r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", None, "", "day"),
+    (8, r"^[0-9]{8}$", ((1, 4), (5, 2), (7, 2)), "", "day"),
+    (7, r"^[0-9]{4}-[0-9]{2}$", None, "-01", "month"),
+    (6, r"^[0-9]{6}$", ((1, 4), (5, 2)), "-01", "month"),
+    (4, r"^[0-9]{4}$", None, "-01-01", "year"),
 ]
 
 # A date key is kept only inside this yyyyMMdd range.
@@ -32,11 +32,14 @@ def to_bigint(c) -> Column:
 
 
 def _layouts(c):
-    """(shape test, parsed date, precision) per accepted layout."""
+    """(shape test, parsed date, precision) per accepted layout.  The lengths
+    differ, so a text meets one pattern at most; its ISO form is cast, which
+    takes no formatter."""
     s = F.trim(col(c).cast("string"))
-    for shape, pattern, suffix, precision in DATE_LAYOUTS:
-        text = F.concat(s, F.lit(suffix)) if suffix else s
-        yield s.rlike(shape), F.try_to_date(text, pattern), precision
+    for length, shape, pieces, suffix, precision in DATE_LAYOUTS:
+        text = F.concat_ws("-", *[F.substring(s, *p) for p in pieces]) if pieces else s
+        text = F.concat(text, F.lit(suffix)) if suffix else text
+        yield (F.length(s) == length) & s.rlike(shape), text.try_cast("date"), precision
 
 
 def parse_date(c) -> Column:

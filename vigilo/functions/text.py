@@ -7,15 +7,27 @@ collapse to one space, then trim and upper-case.  ``\\s`` is Java's class
 ``'ß'`` becomes ``'SS'``.
 """
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F
 
 from vigilo.functions._col import col
 
 WHITESPACE_RUN = r"\s+"
+# A text without any of these has no run to collapse: a byte search, before the pattern.
+RUN_MARKS = ("  ", "\t", "\n", "\x0b", "\f", "\r")
 
 
 def canon(c) -> Column:
-    return F.upper(F.trim(F.regexp_replace(col(c), WHITESPACE_RUN, " ")))
+    c = col(c).cast("string")
+    has_run = reduce(Column.__or__, [c.contains(m) for m in RUN_MARKS])
+    return F.upper(F.trim(F.when(has_run, F.regexp_replace(c, WHITESPACE_RUN, " ")).otherwise(c)))
+
+
+def canon_nonblank(c) -> Column:
+    """``nonblank(canon(c))`` without building the key: some character is not
+    whitespace.  Case mapping makes no character blank."""
+    return col(c).rlike(r"\S")
 
 
 def nonblank(c) -> Column:

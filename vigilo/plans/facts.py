@@ -39,7 +39,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from vigilo.functions import canon, date_key, nonblank, surrogate_key, to_bigint
+from vigilo.functions import canon, canon_nonblank, date_key, nonblank, surrogate_key, to_bigint
 from vigilo.operators.dedupe import first_by
 from vigilo.operators.flags import any_flag, code_flags
 from vigilo.operators.joins import SaltPlan, SkewSpec
@@ -115,7 +115,7 @@ def report_grain(
     demo = demo.withColumn("date_key", date_key("event_dt")).drop("patient_key")
 
     indi = _keyed(
-        silver_indi.select(*_report_key_cols(), canon("indi_pt").alias("condition_key")).filter(nonblank("condition_key"))
+        silver_indi.filter(canon_nonblank("indi_pt")).select(*_report_key_cols(), canon("indi_pt").alias("condition_key"))
     )
     indi = _lookup(indi, dims, "condition", "condition_key", "condition_sk", "left")
     indi = indi.groupBy(*REPORT_KEY).agg(F.min("condition_sk").alias("condition_sk"))
@@ -130,12 +130,12 @@ def report_grain(
 
 
 def _report_drugs(silver_drug: DataFrame, dims: Mapping[str, DataFrame] | None) -> DataFrame:
-    drugs = _keyed(silver_drug.select(*_report_key_cols(), canon("drugname").alias("drug_key")).filter(nonblank("drug_key")))
+    drugs = _keyed(silver_drug.filter(canon_nonblank("drugname")).select(*_report_key_cols(), canon("drugname").alias("drug_key")))
     return _lookup(drugs.distinct(), dims, "drug", "drug_key", "drug_sk", "inner").select(*REPORT_KEY, "drug_sk")
 
 
 def _reaction_rows(silver_reac: DataFrame) -> DataFrame:
-    return _keyed(silver_reac.select(*_report_key_cols(), canon("pt").alias("reaction_key")).filter(nonblank("reaction_key")))
+    return _keyed(silver_reac.filter(canon_nonblank("pt")).select(*_report_key_cols(), canon("pt").alias("reaction_key")))
 
 
 def _report_reactions(silver_reac: DataFrame, dims: Mapping[str, DataFrame] | None) -> DataFrame:
@@ -203,17 +203,17 @@ def report_fact(
 
 
 def _trial_drug_rows(silver_interventions: DataFrame) -> DataFrame:
-    rows = silver_interventions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("drug_key"))
-    return rows.filter(nonblank("study_id") & nonblank("drug_key"))
+    rows = silver_interventions.filter(nonblank("nct_id") & canon_nonblank("name"))
+    return rows.select(F.trim("nct_id").alias("study_id"), canon("name").alias("drug_key"))
 
 
 def _trial_condition_rows(silver_conditions: DataFrame) -> DataFrame:
-    rows = silver_conditions.select(F.trim("nct_id").alias("study_id"), canon("name").alias("condition_key"))
-    return rows.filter(nonblank("study_id") & nonblank("condition_key"))
+    rows = silver_conditions.filter(nonblank("nct_id") & canon_nonblank("name"))
+    return rows.select(F.trim("nct_id").alias("study_id"), canon("name").alias("condition_key"))
 
 
 def _study_rows(silver_studies: DataFrame) -> DataFrame:
-    return silver_studies.select(F.trim("nct_id").alias("study_id")).filter(nonblank("study_id"))
+    return silver_studies.filter(nonblank("nct_id")).select(F.trim("nct_id").alias("study_id"))
 
 
 def _trial_inputs(
@@ -268,7 +268,7 @@ def report_conditions(silver_demo: DataFrame, silver_drug: DataFrame, silver_rea
     """(report, drug, condition) of the event fact: one row per report with an
     indication, and drug.  Flags and profiles are not read."""
     indi = _keyed(
-        silver_indi.select(*_report_key_cols(), canon("indi_pt").alias("condition_key")).filter(nonblank("condition_key"))
+        silver_indi.filter(canon_nonblank("indi_pt")).select(*_report_key_cols(), canon("indi_pt").alias("condition_key"))
     )
     report = indi.groupBy(*REPORT_KEY).agg(F.min(surrogate_key("condition_key")).alias("condition_sk"))
     for rows in (silver_demo.select(*_report_key_cols()), _reaction_rows(silver_reac).select(*REPORT_KEY)):
@@ -322,20 +322,27 @@ def unresolved_keys(
     ``dims``: rows of the fact's input that a lookup drops (for a report's
     condition: leaves without a condition_sk).  Keys are counted before they
     are looked up, so a key with a third of all rows is combined map-side."""
-    demo = silver_demo.select(*profile_columns()).select(patient_key().alias("key"))
+    # Blank names are dropped before their keys are built, by the filters that
+    # the cleaners and the dimensions use: both sides can share one shuffle.
+    demo = silver_demo.select(*profile_columns()).select(patient_key().alias("key")).filter(nonblank("key"))
+
+    def named(rows: DataFrame, name: str) -> DataFrame:
+        return rows.filter(canon_nonblank(name)).select(canon(name).alias("key"))
+
     sources = [
         ("report", "patient", "patient_key", demo),
-        ("report", "drug", "drug_key", silver_drug.select(canon("drugname").alias("key"))),
-        ("report", "reaction", "reaction_key", silver_reac.select(canon("pt").alias("key"))),
-        ("report", "condition", "condition_key", silver_indi.select(canon("indi_pt").alias("key"))),
-        ("trial", "drug", "drug_key", silver_interventions.select(canon("name").alias("key"))),
-        ("trial", "condition", "condition_key", silver_conditions.select(canon("name").alias("key"))),
-        ("trial", "study", "study_id", silver_studies.select(F.trim("nct_id").alias("key"))),
+        ("report", "drug", "drug_key", named(silver_drug, "drugname")),
+        ("report", "reaction", "reaction_key", named(silver_reac, "pt")),
+        ("report", "condition", "condition_key", named(silver_indi, "indi_pt")),
+        ("trial", "drug", "drug_key", named(silver_interventions, "name")),
+        ("trial", "condition", "condition_key", named(silver_conditions, "name")),
+        # != '' is what the anti join infers for the dimension: said here too, so both read one shuffle
+        ("trial", "study", "study_id", _study_rows(silver_studies.filter(F.col("nct_id") != "")).withColumnRenamed("study_id", "key")),
     ]
     found = []
     for fact, name, key, rows in sources:
         if name in dims:
-            counted = rows.filter(nonblank("key")).groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
+            counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
             lacking = counted.join(dims[name].select(F.col(key).alias("key")), "key", "left_anti")
             found.append(lacking.select(F.lit(fact).alias("fact"), F.lit(name).alias("dimension"), "key", "rows"))
     if not found:
