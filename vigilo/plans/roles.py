@@ -74,17 +74,23 @@ def event_date_text(d: Column, priority: Column) -> Column:
     )
 
 
+def _hashed(side: DataFrame) -> DataFrame:
+    """The smaller side of a join on its key: hashed a partition at a time, so
+    that neither side, line items above all, is sorted."""
+    return side.hint("shuffle_hash")
+
+
 def _line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read(spark, sf_dir, "lineitem")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey)
+    return lineitem.join(_hashed(orders), lineitem.l_orderkey == orders.o_orderkey)
 
 
 def bronze_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     c = read(spark, sf_dir, "customer")
     n = read(spark, sf_dir, "nation")
-    rows = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    rows = o.join(_hashed(c), o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     return rows.select(
         _s("o_orderkey").alias("primaryid"),
         _s("o_custkey").alias("caseid"),
@@ -101,7 +107,7 @@ def bronze_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_drug(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir)
     p = read(spark, sf_dir, "part")
-    return lo.join(p, lo.l_partkey == p.p_partkey).select(
+    return lo.join(_hashed(p), lo.l_partkey == p.p_partkey).select(
         _s("l_orderkey").alias("primaryid"),
         _s("o_custkey").alias("caseid"),
         _s("l_linenumber").alias("drug_seq"),
@@ -135,7 +141,7 @@ def bronze_outc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_indi(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo = _line_orders(spark, sf_dir)
     p = read(spark, sf_dir, "part")
-    return lo.join(p, lo.l_partkey == p.p_partkey).select(
+    return lo.join(_hashed(p), lo.l_partkey == p.p_partkey).select(
         _s("l_orderkey").alias("primaryid"),
         _s("o_custkey").alias("caseid"),
         _s("l_linenumber").alias("indi_drug_seq"),
@@ -153,26 +159,31 @@ def bronze_studies(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = o.join(ship, o.o_orderkey == ship.l_orderkey, "left")
     study_type = F.when(F.col("o_orderstatus") == "F", F.lit("Interventional")).otherwise(F.lit("Observational"))
 
-    def version(status: Column, divisor: int, ship_col: str) -> DataFrame:
-        return rows.select(
-            _nct("o_orderkey").alias("nct_id"),
-            status.alias("overall_status"),
-            F.col("o_orderpriority").alias("phase"),
-            study_type.alias("study_type"),
-            F.format_number(F.floor(F.col("o_totalprice") / divisor), 0).alias("enrollment"),
-            F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
-            F.date_format(ship_col, "yyyy-MM-dd").alias("completion_date"),
-            F.date_format(ship_col, "yyyy-MM").alias("last_update_posted_date"),
-        )
-
-    return version(F.col("o_orderstatus"), 10, "last_ship").unionByName(version(F.lower("o_orderstatus"), 20, "first_ship"))
+    # Both versions of a study come from its one joined row.
+    older = F.col("older")
+
+    def version(listed: Column, former: Column) -> Column:
+        return F.when(older, former).otherwise(listed)
+
+    ship_date = version(F.col("last_ship"), F.col("first_ship"))
+    price = F.col("o_totalprice")
+    return rows.withColumn("older", F.explode(F.array(F.lit(False), F.lit(True)))).select(
+        _nct("o_orderkey").alias("nct_id"),
+        version(F.col("o_orderstatus"), F.lower("o_orderstatus")).alias("overall_status"),
+        F.col("o_orderpriority").alias("phase"),
+        study_type.alias("study_type"),
+        F.format_number(version(F.floor(price / 10), F.floor(price / 20)), 0).alias("enrollment"),
+        F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"),
+        F.date_format(ship_date, "yyyy-MM-dd").alias("completion_date"),
+        F.date_format(ship_date, "yyyy-MM").alias("last_update_posted_date"),
+    )
 
 
 def bronze_interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read(spark, sf_dir, "lineitem")
     p = read(spark, sf_dir, "part")
     size = F.col("p_size")
-    return lineitem.join(p, lineitem.l_partkey == p.p_partkey).select(
+    return lineitem.join(_hashed(p), lineitem.l_partkey == p.p_partkey).select(
         _nct("l_orderkey").alias("nct_id"),
         F.when(size < 10, F.lit("Device")).when(size < 30, F.lit("Drug")).otherwise(F.lit("DRUG")).alias("intervention_type"),
         F.when(size > 45, F.col("p_brand"))
@@ -185,7 +196,7 @@ def bronze_interventions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_conditions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = read(spark, sf_dir, "lineitem")
     p = read(spark, sf_dir, "part")
-    return lineitem.join(p, lineitem.l_partkey == p.p_partkey).select(
+    return lineitem.join(_hashed(p), lineitem.l_partkey == p.p_partkey).select(
         _nct("l_orderkey").alias("nct_id"),
         F.when(F.col("p_size") > 40, F.concat("p_type", F.lit(" "), "p_brand"))
         .otherwise(F.concat(F.lit(" "), "p_type", F.lit("  "), _s("p_size")))
