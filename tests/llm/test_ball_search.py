@@ -117,3 +117,26 @@ def test_empty_tables(spark):
     none, some = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b", "", "", "")], DOCS)
     assert bs.ranked_search(none, spark.createDataFrame([(1, "a", "", "")], ITEMS)).count() == 0
     assert bs.ranked_search(some, spark.createDataFrame([], ITEMS)).count() == 0
+
+
+def test_a_task_holds_one_shard_at_a_time(spark, monkeypatch):
+    """Many shards from one task: a row group each, read and sent to Python one by one."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(bs, "SHARD_DOCS", 4)
+    limits = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before, tables, stored = [spark.conf.get(k, None) for k in limits], {}, bs.stored
+
+    def noted(df, name, *more):
+        out = stored(df, name, *more)
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in out.inputFiles()]
+        tables[name] = (sorted(m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)), [spark.conf.get(k, None) for k in limits])
+        return out
+
+    monkeypatch.setattr(bs, "stored", noted)
+    docs = [(i, f"a b{i} c{i % 3}", "", "", "") for i in range(40)]
+    got = bs.ranked_search(spark.createDataFrame(docs, DOCS).coalesce(1), spark.createDataFrame([(1, "c1 b7", "", "")], ITEMS)).collect()
+    assert sorted(map(tuple, got)) == sorted(plain([d[:2] for d in docs], [(1, "c1 b7")]))
+    assert tables["terms"][0] == tables["trees"][0] == [1] * 10
+    assert tables["trees"][1] == ["1", "1"] and int(tables["terms"][1][0]) <= 500
+    assert [spark.conf.get(k, None) for k in limits] == before
