@@ -1,10 +1,12 @@
 """Silver, dimension, fact and measure semantics on hand-made rows."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from vigilo.functions import canon, surrogate_key
-from vigilo.plans import dims, facts, measures, silver
+from vigilo.plans import dims, facts, measures, model, silver
 
 DEMO = "primaryid string, caseid string, caseversion string, sex string, age string, age_cod string, event_dt string, occr_country string, reporter_country string"
 DRUG = "primaryid string, caseid string, drug_seq string, role_cod string, drugname string, prod_ai string, route string"
@@ -201,3 +203,42 @@ def test_studied_pairs_without_the_product(spark, large):
     assert len(rows) == len(set(rows)) and set(rows) & wanted == expected
     left = measures.unstudied(reported, studied)
     assert {(r.drug_sk, r.condition_sk) for r in left.collect()} == wanted - expected
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_unresolved_keys_are_written_a_source_at_a_time(spark):
+    """The shuffles of all sources are not on disk together: each source is
+    written by itself, and its shuffle files are gone when the next begins."""
+    profile = "sex string, age_cod string, reporter_country string, occr_country string"
+    demo = spark.createDataFrame([("F", "YR", "us", "us"), (None, "YR", "us", "us"), ("M", "YR", "us", "us")], profile)
+    named = {c: spark.createDataFrame([(x,) for x in names], f"{c} string") for c, names in (("drugname", "aab"), ("pt", "xyy"), ("indi_pt", "pqq"))}
+    drugs = spark.createDataFrame([("N1", "A"), ("N2", "c"), ("N2", None)], "nct_id string, name string")
+    conditions = spark.createDataFrame([("N1", "P"), ("N2", " ")], "nct_id string, name string")
+    studies = spark.createDataFrame([("N1", "F"), ("N2", "O")], "nct_id string, overall_status string")
+    s = {"faers_demo": demo, "faers_drug": named["drugname"], "faers_reac": named["pt"], "faers_indi": named["indi_pt"],
+         "aact_interventions": drugs, "aact_conditions": conditions, "aact_studies": studies}
+    held = {
+        "drug": drugs.filter("name = 'A'").distinct().select(canon("name").alias("drug_key")),
+        "condition": conditions.select(canon("name").alias("condition_key")).distinct(),
+        "reaction": named["pt"].filter("pt = 'x'").select(canon("pt").alias("reaction_key")).distinct(),
+        "patient": demo.filter("sex = 'F'").select(F.lit("F|YR|US|US").alias("patient_key")).distinct(),
+        "study": studies.filter("overall_status = 'F'").select(F.col("nct_id").alias("study_id")).distinct(),
+    }
+    before = shuffle_files(spark)
+    lacking = model.unresolved_keys(s, held)
+    assert "Exchange" not in lacking._jdf.queryExecution().executedPlan().toString()  # written already
+    until = time.time() + 30
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+    assert sorted(map(tuple, lacking.collect())) == [
+        ("report", "condition", "Q", 2), ("report", "drug", "B", 1), ("report", "patient", "M|YR|US|US", 1), ("report", "patient", "UNK|YR|US|US", 1),
+        ("report", "reaction", "Y", 2), ("trial", "drug", "C", 1), ("trial", "study", "N2", 1),
+    ]
+    assert sorted(map(tuple, model.unresolved_keys(s, {"study": held["study"]}).collect())) == [("trial", "study", "N2", 1)]
+    assert model.unresolved_keys(s, {}).collect() == []

@@ -37,7 +37,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vigilo.functions import canon, canon_nonblank, date_key, nonblank, surrogate_key, to_bigint
 from vigilo.operators.dedupe import first_by
@@ -308,7 +308,7 @@ def studied_pairs(
     return small.unionByName(inside).distinct()
 
 
-def unresolved_keys(
+def unresolved_by_source(
     silver_demo: DataFrame,
     silver_drug: DataFrame,
     silver_reac: DataFrame,
@@ -317,11 +317,8 @@ def unresolved_keys(
     silver_conditions: DataFrame,
     silver_studies: DataFrame,
     dims: Mapping[str, DataFrame],
-) -> DataFrame:
-    """(fact, dimension, key, rows) of the natural keys without a member in
-    ``dims``: rows of the fact's input that a lookup drops (for a report's
-    condition: leaves without a condition_sk).  Keys are counted before they
-    are looked up, so a key with a third of all rows is combined map-side."""
+) -> list[DataFrame]:
+    """``unresolved_keys``, a frame for each fact and dimension."""
     # Blank names are dropped before their keys are built, by the filters that
     # the cleaners and the dimensions use: both sides can share one shuffle.
     demo = silver_demo.select(*profile_columns()).select(patient_key().alias("key")).filter(nonblank("key"))
@@ -345,8 +342,32 @@ def unresolved_keys(
             counted = rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows"))
             lacking = counted.join(dims[name].select(F.col(key).alias("key")), "key", "left_anti")
             found.append(lacking.select(F.lit(fact).alias("fact"), F.lit(name).alias("dimension"), "key", "rows"))
+    return found
+
+
+def unresolved_keys(
+    silver_demo: DataFrame,
+    silver_drug: DataFrame,
+    silver_reac: DataFrame,
+    silver_indi: DataFrame,
+    silver_interventions: DataFrame,
+    silver_conditions: DataFrame,
+    silver_studies: DataFrame,
+    dims: Mapping[str, DataFrame],
+) -> DataFrame:
+    """(fact, dimension, key, rows) of the natural keys without a member in
+    ``dims``: rows of the fact's input that a lookup drops (for a report's
+    condition: leaves without a condition_sk).  Keys are counted before they
+    are looked up, so a key with a third of all rows is combined map-side."""
+    found = unresolved_by_source(
+        silver_demo, silver_drug, silver_reac, silver_indi, silver_interventions, silver_conditions, silver_studies, dims
+    )
+    return union_unresolved(silver_demo.sparkSession, found)
+
+
+def union_unresolved(spark: SparkSession, found: Sequence[DataFrame]) -> DataFrame:
     if not found:
-        return silver_demo.sparkSession.createDataFrame([], "fact string, dimension string, key string, rows bigint")
+        return spark.createDataFrame([], "fact string, dimension string, key string, rows bigint")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)

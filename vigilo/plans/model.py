@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigilo.operators.joins import SkewSpec
 from vigilo.plans import dims, facts, silver
+from vigilo.session import REMOVE_SHUFFLES, settings, stored
 
 
 def silver_table(name: str, bronze: DataFrame, roles: Sequence[str] = silver.SUSPECT_ROLES) -> DataFrame:
@@ -53,9 +54,17 @@ def trial_fact(s: Mapping[str, DataFrame], skew: SkewSpec = SkewSpec(), dims: Ma
 
 
 def unresolved_keys(s: Mapping[str, DataFrame], dims: Mapping[str, DataFrame]) -> DataFrame:
-    return facts.unresolved_keys(
-        s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["aact_interventions"], s["aact_conditions"], s["aact_studies"], dims
-    )
+    """``facts.unresolved_keys``, written a fact and dimension at a time: the
+    shuffles of one are gone before those of the next, so the disk holds one
+    silver table's at once, not all seven.  The keys of dimensions that two
+    facts look up are written first."""
+    spark = s["faers_demo"].sparkSession
+    with settings(spark, REMOVE_SHUFFLES):
+        twice = {n: stored(dims[n].select(f"{n}_key"), f"{n}-keys") for n in ("drug", "condition") if n in dims}
+        found = facts.unresolved_by_source(
+            s["faers_demo"], s["faers_drug"], s["faers_reac"], s["faers_indi"], s["aact_interventions"], s["aact_conditions"], s["aact_studies"], {**dims, **twice}
+        )
+        return facts.union_unresolved(spark, [stored(f, "unresolved") for f in found])
 
 
 def report_summary(s: Mapping[str, DataFrame], codes: Mapping[str, str] = facts.OUTCOME_CODES) -> DataFrame:
